@@ -1,0 +1,134 @@
+"""Synthetic readings and feed messages, driven by a frame of ticks."""
+
+from __future__ import annotations
+
+import math
+import random
+import time
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+
+from thermoweave.operators.scan import BLOCK_ROWS, add_seq_block, running
+from thermoweave.sources.readings import READING
+
+WALK_SENSORS = 10
+WALK_BASE, WALK_SPREAD = 60.0, 20.0
+FEED_SENSORS = 11
+FEED_SUFFIX = "30"
+
+
+def _uniform(*parts: Column) -> Column:
+    """A number in (0, 1) that depends on the parts only, on any cluster and on retry."""
+    digest = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
+
+
+def _gauss(seed: int, *parts: Column) -> Column:
+    """Standard normal by the Box-Muller transform of two such numbers."""
+    u = _uniform(F.lit(seed), F.lit("u"), *parts)
+    v = _uniform(F.lit(seed), F.lit("v"), *parts)
+    return F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * math.pi * v)
+
+
+def walk_readings(ticks: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One reading per sensor and tick: a random walk from ``60 + 20*N(0,1)``.
+
+    ``ticks`` is (tick, timestamp ms) with ``tick`` unique. The first reading of a sensor
+    already includes one step, and all sensors of a tick share its timestamp.
+    """
+    sensor = F.explode(F.sequence(F.lit(1), F.lit(WALK_SENSORS)))
+    steps = ticks.select("tick", "timestamp", sensor.alias("n")).select(
+        F.concat(F.lit("sensor_"), F.col("n").cast("string")).alias("id"),
+        "n",
+        "tick",
+        "timestamp",
+        _gauss(seed, F.col("n"), F.col("tick")).alias("step"),
+    )
+    walked = running(
+        add_seq_block(steps, "tick", block_rows),
+        {"moved": ("sum", F.col("step"))},
+        keys=["id", "n"],
+        order=["tick"],
+    )
+    base = WALK_BASE + WALK_SPREAD * _gauss(seed, F.col("n"), F.lit("base"))
+    return walked.select("id", "tick", "timestamp", (base + F.col("moved")).alias("temperature"))
+
+
+def feed_messages(ticks: DataFrame) -> DataFrame:
+    """(key, value) log messages: per tick one message for each of the eleven sensors.
+
+    The last field is the sensor number and ``30`` written one after the other.
+    """
+    n = F.explode(F.sequence(F.lit(0), F.lit(FEED_SENSORS - 1)))
+    return ticks.select("timestamp", n.alias("n")).select(
+        F.concat(F.lit("key-"), F.col("n").cast("string")).alias("key"),
+        F.concat_ws(
+            ",",
+            F.concat(F.lit("sensor_"), F.col("n").cast("string")),
+            F.col("timestamp").cast("string"),
+            F.concat(F.col("n").cast("string"), F.lit(FEED_SUFFIX)),
+        ).alias("value"),
+    )
+
+
+class SensorWalkSource(DataSource):
+    """Streaming source ``sensor_walk``: ten walking sensors, one tick per ``tickMillis``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "sensor_walk"
+
+    def schema(self):
+        return READING
+
+    def simpleStreamReader(self, schema):
+        return _WalkReader(self.options)
+
+
+class _WalkReader(SimpleDataSourceStreamReader):
+    """The offset holds tick number, wall clock and seed; a tick is a function of those."""
+
+    def __init__(self, options):
+        self.seed = int(options.get("seed", "42"))
+        self.pause = int(options.get("tickMillis", "1000"))
+        self.temps: dict[int, list[float]] = {}
+
+    def initialOffset(self):
+        return {"tick": 0, "millis": int(time.time() * 1000)}
+
+    def _temps(self, tick: int) -> list[float]:
+        if tick not in self.temps:
+            rng = random.Random(self.seed)
+            known = [WALK_BASE + WALK_SPREAD * rng.gauss(0, 1) for _ in range(WALK_SENSORS)]
+            done = 0
+            if self.temps:
+                done = max(t for t in self.temps if t < tick) if min(self.temps) < tick else 0
+                known = self.temps.get(done, known)
+            for t in range(done + 1, tick + 1):
+                rng = random.Random(f"{self.seed}:{t}")
+                known = [x + rng.gauss(0, 1) for x in known]
+            self.temps = {tick: known}
+        return self.temps[tick]
+
+    def _rows(self, tick: int, millis: int):
+        return [
+            (f"sensor_{i}", millis, temp) for i, temp in enumerate(self._temps(tick), start=1)
+        ]
+
+    def read(self, start):
+        now = int(time.time() * 1000)
+        if start["tick"] and now < start["millis"] + self.pause:
+            return iter([]), start
+        end = {"tick": start["tick"] + 1, "millis": now}
+        return iter(self._rows(end["tick"], now)), end
+
+    def readBetweenOffsets(self, start, end):
+        rows = []
+        for tick in range(start["tick"] + 1, end["tick"] + 1):
+            rows += self._rows(tick, end["millis"])
+        return iter(rows)
+
+    def commit(self, end):
+        pass
