@@ -59,5 +59,5 @@ def running_word_count(docs: DataFrame, block_docs: int = 256) -> DataFrame:
     placed = docs.select("doc_id", F.posexplode(kept).alias("pos", "word"))
     blocked = placed.withColumn(BLOCK, seq_block("doc_id", block_docs))
     return running(
-        blocked, {"n": ("count", F.lit(1))}, keys=["word"], order=["doc_id", "pos"]
-    ).drop(BLOCK)
+        blocked, {"n": ("sum", F.lit(1))}, keys=["word"], order=["doc_id", "pos"]
+    )

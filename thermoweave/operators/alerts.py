@@ -36,7 +36,7 @@ def rise_alert(readings: DataFrame, interval: str = "10 seconds", block_rows: in
     wait = F.lit(micros(interval))
     blocked = add_time_block(readings.select("seq", "id", "ts", "temperature"), rows=block_rows)
     order = ["ts", "seq"]
-    compared = previous(blocked, "temperature", "last", ["id"], order, F.lit(0.0))
+    compared = previous(blocked, "temperature", "last", ["id"], order, 0.0, keep_block=True)
     drop = (F.col("temperature") < F.col("last")).cast("int")
     moves = compared.withColumn("drop", drop).filter(F.col("temperature") != F.col("last"))
     staged = running(moves, {"drops": ("sum", F.col("drop"))}, ["id"], order)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.operators.scan import BLOCK, BLOCK_ROWS, add_seq_block, running
+from thermoweave.operators.scan import BLOCK_ROWS, add_seq_block, running
 from thermoweave.operators.windows import _starts, micros
 
 
@@ -50,7 +50,7 @@ def with_watermark_before(
         before=True,
     )
     top = F.greatest(F.col("_top"), F.lit(start_ms).cast("bigint"))
-    return out.withColumn("wm_ms", top - F.lit(micros(delay) // 1000)).drop("_top", BLOCK)
+    return out.withColumn("wm_ms", top - F.lit(micros(delay) // 1000)).drop("_top")
 
 
 def mark_late(
@@ -109,7 +109,7 @@ def lateness_firings(
     regular = on_time.select("id", "_start", F.lit(0).cast("bigint").alias("firing"), "cnt")
     again = running(
         add_seq_block(kept.filter(fired).select("seq", "id", "_start"), rows=block_rows),
-        {"firing": ("count", F.lit(1))},
+        {"firing": ("sum", F.lit(1))},
         ["id", "_start"],
     )
     late = again.join(on_time, ["id", "_start"], "left").select(

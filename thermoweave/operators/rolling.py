@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.operators.scan import BLOCK, BLOCK_ROWS, add_seq_block, previous, running
+from thermoweave.operators.scan import BLOCK_ROWS, add_seq_block, previous, running
 
 JUMP = 10.0
 
@@ -14,7 +14,7 @@ def rolling_sum(df: DataFrame, value: str, keys=("id",), block_rows: int = BLOCK
     """Each record with the sum of ``value`` so far."""
     return running(
         add_seq_block(df, rows=block_rows), {"total": ("sum", F.col(value))}, list(keys)
-    ).drop(BLOCK)
+    )
 
 
 def rolling_reduce(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -48,7 +48,7 @@ def rolling_min_by(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 def changelog_count(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Retracting count: (added, id, cnt); before each new count the old one is withdrawn."""
     counted = running(
-        add_seq_block(readings, rows=block_rows), {"n": ("count", F.lit(1))}, ["id"]
+        add_seq_block(readings, rows=block_rows), {"n": ("sum", F.lit(1))}, ["id"]
     )
     change = F.filter(
         F.array(
@@ -64,7 +64,7 @@ def changelog_count(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
 
 def running_number(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1, 2, 3 … over all records: block counts, offsets, then numbering inside blocks."""
-    return running(add_seq_block(readings, rows=block_rows), {"n": ("count", F.lit(1))}).drop(BLOCK)
+    return running(add_seq_block(readings, rows=block_rows), {"n": ("sum", F.lit(1))})
 
 
 def _jumped(threshold: float) -> Column:
@@ -79,8 +79,8 @@ def _with_last(readings: DataFrame, default: float | None, block_rows: int) -> D
         "temperature",
         "last_temp",
         ["id"],
-        default=None if default is None else F.lit(default),
-    ).drop(BLOCK)
+        default=default,
+    )
 
 
 def jump_alert(readings: DataFrame, threshold: float = JUMP, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -1,13 +1,16 @@
 """Ordered per-key scans that survive a hot key.
 
 ``Window.partitionBy(key)`` puts all rows of a key into one task. The functions here cut
-each key's ordered rows into *blocks*, run the window inside (key, block) and add what the
-earlier blocks of the key contribute, which is one small row per (key, block):
+each key's ordered rows into *blocks* and run the window inside (key, block). What the
+earlier blocks contribute is put in front of each block as a few flagged rows:
 
-* a running aggregate adds the aggregate of all earlier blocks,
-* ``previous`` adds the last row of the nearest earlier block,
-* ``with_halo`` adds copies of the last ``n`` earlier rows, flagged, so that a sliding row
-  frame is complete; the caller drops the flagged rows afterwards.
+* ``with_totals`` adds one row holding the aggregate of all earlier blocks, so running
+  aggregates come out right,
+* ``with_halo`` adds copies of the last ``n`` earlier rows, so a sliding row frame is
+  complete.
+
+The readings are shuffled once, by (key, block); the added rows come from partial
+aggregates over blocks. ``finished`` drops the flagged rows again.
 
 Blocks are a pure function of the row, so a lost executor's tasks recompute the same
 blocks. They must be monotone in the scan order. ``seq_block`` bounds every block by
@@ -19,18 +22,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 BLOCK_ROWS = 1 << 20
 MAX_TIME_BINS = 10_000
 BLOCK = "_block"
 HALO = "is_halo"
 
-_FOLDS = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+_FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def seq_block(seq: str = "seq", rows: int = BLOCK_ROWS) -> Column:
@@ -52,7 +55,7 @@ def add_time_block(
     equal timestamps cannot pile up in one block either.
     """
     micros = F.unix_micros(F.col(ts)).cast("double")
-    one_bin = F.struct(F.lit(0.0).alias("bin"), F.lit(0).cast("bigint").alias("part"))
+    one_bin = F.struct(F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("part"))
     total = df.count()
     bins = min(MAX_TIME_BINS, math.ceil(total / rows))
     if bins <= 1:
@@ -74,111 +77,78 @@ def add_time_block(
     after = F.lit(2**63 - 1).cast("bigint")
     part = F.when(F.col("_micros").isin(crowded), seq_block(seq, rows)).otherwise(after)
     return binned.withColumn(
-        BLOCK, F.struct(F.col("_bin").alias("bin"), (part if crowded else after).alias("part"))
+        BLOCK, F.struct(F.col("_bin").cast("int").alias("bin"), (part if crowded else after).alias("part"))
     ).drop("_micros", "_bin")
 
 
-def _join_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on (keys, block), null keys included; drops the carry's key columns."""
-    on = [*keys, BLOCK]
-    right = carry.select(*[F.col(c).alias(f"_c_{c}") for c in on],
-                         *[c for c in carry.columns if c not in on])
-    cond = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in on]
-    )
-    return rows.join(right, cond, "left").drop(*[f"_c_{c}" for c in on])
+def _by(keys: Sequence[str]) -> list:
+    return list(keys) or [F.lit(0)]
 
 
-def _combine(fold: str, earlier: Column, here: Column) -> Column:
-    if fold == "count":
-        return F.coalesce(earlier, F.lit(0)) + here
-    if fold == "sum":
-        return F.coalesce(earlier + here, earlier, here)
-    pick = F.greatest if fold == "max" else F.least
-    return pick(earlier, here)
+def in_block(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    """The window inside (keys, block); total rows have null order columns and come first."""
+    return Window.partitionBy(*keys, BLOCK).orderBy(*[F.asc_nulls_first(c) for c in order])
 
 
-def running(
-    blocked: DataFrame,
-    aggs: dict[str, tuple[str, Column]],
-    keys: Sequence[str] = (),
-    order: Sequence[str] = ("seq",),
-    before: bool = False,
+def finished(rows: DataFrame) -> DataFrame:
+    """Without the flagged rows and the helper columns."""
+    helpers = [c for c in rows.columns if c.startswith("_v_")]
+    return rows.filter(~F.col(HALO)).drop(HALO, BLOCK, *helpers)
+
+
+def with_totals(
+    blocked: DataFrame, values: dict[str, tuple[str, Column]], keys: Sequence[str]
 ) -> DataFrame:
-    """Add running aggregates per key: each row sees all rows up to itself.
+    """Put one row with the aggregates of all earlier blocks in front of each block.
 
-    ``blocked`` carries the block column. ``aggs`` maps an output name to (fold, value)
-    with fold one of sum, count, max, min. ``before=True`` leaves the row itself out.
+    ``values`` maps a name to (fold, value), fold one of sum, max, min. Column ``_v_<name>``
+    holds the value on ordinary rows and the earlier aggregate on the added row. Halo rows
+    already present keep null there.
     """
-    named = {name: f"_v{i}" for i, name in enumerate(aggs)}
-    valued = blocked.withColumns({named[n]: value for n, (_, value) in aggs.items()})
-
-    totals = valued.groupBy(*keys, BLOCK).agg(
-        *[_FOLDS[fold](named[n]).alias(named[n]) for n, (fold, _) in aggs.items()]
-    )
+    own = {f"_v_{name}": value for name, (_, value) in values.items()}
+    folds = {f"_v_{name}": _FOLDS[fold] for name, (fold, _) in values.items()}
+    if HALO in blocked.columns:
+        own = {name: F.when(~F.col(HALO), value) for name, value in own.items()}
+        rows = blocked.withColumns(own)
+        counted = rows.filter(~F.col(HALO))
+    else:
+        rows = blocked.withColumns({**own, HALO: F.lit(False)})
+        counted = rows
+    totals = counted.groupBy(*keys, BLOCK).agg(*[fold(v).alias(v) for v, fold in folds.items()])
     earlier = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
+        Window.partitionBy(*_by(keys))
         .orderBy(BLOCK)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # The count of a block is summed over blocks.
-    carry = totals.select(
-        *keys,
-        BLOCK,
-        *[
-            (F.sum if fold == "count" else _FOLDS[fold])(named[n]).over(earlier).alias(f"_c{i}")
-            for i, (n, (fold, _)) in enumerate(aggs.items())
-        ],
-    )
-
-    here = (
-        Window.partitionBy(*keys, BLOCK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
-    )
-    local = valued.withColumns(
-        {f"_l{i}": _FOLDS[fold](named[n]).over(here) for i, (n, (fold, _)) in enumerate(aggs.items())}
-    )
-    out = _join_carry(local, carry, keys).withColumns(
+    heads = totals.withColumns(
         {
-            n: _combine(fold, F.col(f"_c{i}"), F.col(f"_l{i}"))
-            for i, (n, (fold, _)) in enumerate(aggs.items())
+            **{v: fold(v).over(earlier) for v, fold in folds.items()},
+            "_nth": F.row_number().over(Window.partitionBy(*_by(keys)).orderBy(BLOCK)),
+            HALO: F.lit(True),
         }
     )
-    return out.drop(
-        *named.values(), *[f"_c{i}" for i in range(len(aggs))], *[f"_l{i}" for i in range(len(aggs))]
-    )
+    heads = heads.filter(F.col("_nth") > 1).drop("_nth")
+    return rows.unionByName(heads, allowMissingColumns=True)
 
 
-def previous(
+def running(
     blocked: DataFrame,
-    value: str,
-    out: str,
-    keys: Sequence[str],
+    aggs: dict[str, tuple[str, Column]],
+    keys: Sequence[str] = (),
     order: Sequence[str] = ("seq",),
-    default: Column | None = None,
+    before: bool = False,
 ) -> DataFrame:
-    """Add the value of the key's preceding row; ``default`` (or null) on the first row."""
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last = blocked.groupBy(*keys, BLOCK).agg(F.max_by(value, position).alias("_last"))
-    by_block = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(BLOCK)
-    carry = last.select(
-        *keys,
-        BLOCK,
-        F.lag("_last").over(by_block).alias("_carry"),
-        (F.row_number().over(by_block) > 1).alias("_carried"),
-    )
-    here = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    local = blocked.withColumns(
-        {"_lag": F.lag(value).over(here), "_inner": F.row_number().over(here) > 1}
+    """Add running aggregates per key: each row sees all rows up to itself.
+
+    ``blocked`` carries the block column, which is dropped. ``aggs`` maps an output name to
+    (fold, value) with fold one of sum, max, min. ``before=True`` leaves the row itself out.
+    """
+    frame = in_block(keys, order).rowsBetween(
+        Window.unboundedPreceding, -1 if before else Window.currentRow
     )
-    picked = F.when(F.col("_inner"), F.col("_lag")).when(F.col("_carried"), F.col("_carry"))
-    if default is not None:
-        picked = picked.otherwise(default)
-    return (
-        _join_carry(local, carry, keys)
-        .withColumn(out, picked)
-        .drop("_lag", "_inner", "_carry", "_carried")
+    rows = with_totals(blocked, aggs, keys)
+    return finished(
+        rows.withColumns({n: _FOLDS[fold](f"_v_{n}").over(frame) for n, (fold, _) in aggs.items()})
     )
 
 
@@ -196,16 +166,24 @@ def with_halo(
     complete for every unflagged row.
     """
     kept = list(dict.fromkeys([*order, *values]))
-    newest = Window.partitionBy(*keys, BLOCK).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        blocked.select(*keys, BLOCK, *kept)
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= n)
-        .groupBy(*keys, BLOCK)
-        .agg(F.collect_list(F.struct(*kept)).alias("_tail"))
-    )
+    slim = blocked.select(*keys, BLOCK, *kept)
+    if n == 1 and len(order) == 1:
+        # Primitive columns only: a hash aggregate, no sort.
+        last = [F.max(order[0]).alias(order[0])]
+        last += [F.max_by(v, order[0]).alias(v) for v in kept[1:]]
+        tails = slim.groupBy(*keys, BLOCK).agg(*last).select(
+            *keys, BLOCK, F.array(F.struct(*kept)).alias("_tail")
+        )
+    else:
+        newest = Window.partitionBy(*keys, BLOCK).orderBy(*[F.desc(c) for c in order])
+        tails = (
+            slim.withColumn("_rank", F.row_number().over(newest))
+            .filter(F.col("_rank") <= n)
+            .groupBy(*keys, BLOCK)
+            .agg(F.collect_list(F.struct(*kept)).alias("_tail"))
+        )
     # Every block holds a row, so the last n blocks hold the last n rows: n*n structs at most.
-    reach = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(BLOCK).rowsBetween(-n, -1)
+    reach = Window.partitionBy(*_by(keys)).orderBy(BLOCK).rowsBetween(-n, -1)
     newest_first = F.sort_array(F.flatten("_tails"), asc=False)
     halo = (
         tails.withColumn("_tails", F.collect_list("_tail").over(reach))
@@ -213,3 +191,18 @@ def with_halo(
         .select(*keys, BLOCK, "_row.*", F.lit(True).alias(HALO))
     )
     return blocked.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
+
+
+def previous(
+    blocked: DataFrame,
+    value: str,
+    out: str,
+    keys: Sequence[str],
+    order: Sequence[str] = ("seq",),
+    default: object = None,
+    keep_block: bool = False,
+) -> DataFrame:
+    """Add the value of the key's preceding row; ``default`` on its first row."""
+    rows = with_halo(blocked, 1, keys, order, [value])
+    seen = rows.withColumn(out, F.lag(value, 1, default).over(in_block(keys, order)))
+    return seen.filter(~F.col(HALO)).drop(HALO) if keep_block else finished(seen)

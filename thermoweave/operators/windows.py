@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from thermoweave.operators.scan import (
     BLOCK,
     BLOCK_ROWS,
-    HALO,
     add_seq_block,
     add_time_block,
-    running,
+    finished,
+    in_block,
     seq_block,
     with_halo,
+    with_totals,
 )
 
 _MICROS = {
@@ -232,20 +233,25 @@ def count_window(
     readings: DataFrame, size: int = 10, every: int = 2, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """At every ``every``-th element of an id: the window of its latest ``size`` elements."""
-    numbered = running(
-        add_seq_block(readings, rows=block_rows), {"nth": ("count", F.lit(1))}, ["id"]
+    blocked = add_seq_block(
+        readings.select("seq", "id", "timestamp", "temperature"), rows=block_rows
+    )
+    haloed = with_halo(blocked, size - 1, ["id"], ["seq"], ["timestamp", "temperature"])
+    rows = with_totals(haloed, {"nth": ("sum", F.lit(1))}, ["id"])
+    here = in_block(["id"], ["seq"])
+    frame = here.rowsBetween(1 - size, Window.currentRow)
+    so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumns(
+        {
+            "nth": F.sum("_v_nth").over(so_far),
+            "elements": F.count("seq").over(frame),
+            "max_timestamp": F.max("timestamp").over(frame),
+            "min_temperature": F.min("temperature").over(frame),
+        }
     )
-    haloed = with_halo(numbered, size - 1, ["id"], ["seq"], ["timestamp", "temperature"])
-    frame = Window.partitionBy("id", BLOCK).orderBy("seq").rowsBetween(1 - size, 0)
     return (
-        haloed.withColumns(
-            {
-                "elements": F.count(F.lit(1)).over(frame),
-                "max_timestamp": F.max("timestamp").over(frame),
-                "min_temperature": F.min("temperature").over(frame),
-            }
-        )
-        .filter(~F.col(HALO) & (F.col("nth") % every == 0))
+        finished(placed)
+        .filter(F.col("nth") % every == 0)
         .select("seq", "id", "elements", "max_timestamp", "min_temperature")
     )
 
@@ -262,18 +268,13 @@ def with_preceding(readings: DataFrame, preceding: int = 2, block_rows: int = BL
 
 def over_rows(readings: DataFrame, preceding: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Count and mean temperature over each reading and the ``preceding`` ones before it."""
-    frame = Window.partitionBy("id", BLOCK).orderBy("ts", "seq").rowsBetween(-preceding, 0)
-    return (
-        with_preceding(readings, preceding, block_rows)
-        .withColumns(
-            {
-                "cnt": F.count("id").over(frame),
-                "avg_temp": F.avg("temperature").over(frame),
-            }
+    frame = in_block(["id"], ["ts", "seq"]).rowsBetween(-preceding, Window.currentRow)
+    rows = with_preceding(readings, preceding, block_rows)
+    return finished(
+        rows.withColumns(
+            {"cnt": F.count("id").over(frame), "avg_temp": F.avg("temperature").over(frame)}
         )
-        .filter(~F.col(HALO))
-        .select("seq", "id", "ts", "cnt", "avg_temp")
-    )
+    ).select("seq", "id", "ts", "cnt", "avg_temp")
 
 
 def over_rows_sql(spark: SparkSession, view: str, preceding: int = 2) -> DataFrame:

@@ -7,15 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from thermoweave.operators.alerts import latest_by_arrival, upsert_latest
-
-TARGET_DDL = "sensor string, temperature double"
+from thermoweave.sinks.versions import Versions
 
 
 def merge_statement(target: str, staging: str) -> str:
     """The database-side half: move staged rows into the target, update or insert."""
     return (
         f"MERGE INTO {target} t USING {staging} s ON t.sensor = s.sensor "
-        "WHEN MATCHED THEN UPDATE SET temperature = s.temperature "
+        "WHEN MATCHED THEN UPDATE SET t.temperature = s.temperature "
         "WHEN NOT MATCHED THEN INSERT (sensor, temperature) VALUES (s.sensor, s.temperature)"
     )
 
@@ -30,40 +29,14 @@ def stage_jdbc(readings: DataFrame, url: str, staging: str, properties: dict[str
     )
 
 
-class VersionedTable:
-    """(sensor, temperature) kept as one folder per version below a shared path.
-
-    Version ``n`` is the table after micro-batch ``n``. Writing a version again gives the
-    same rows, so a retried micro-batch does no harm, and readers never see half a table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+def upsert_table(spark: SparkSession, path: str) -> Versions:
+    return Versions(spark, path, "sensor string, temperature double")
 
-    def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        done = []
-        for status in fs.listStatus(root):
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                done.append(int(status.getPath().getName().split("=")[1]))
-        return sorted(done)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        kept = [v for v in self._versions() if before is None or v < before]
-        if not kept:
-            return self.spark.createDataFrame([], TARGET_DDL)
-        return self.spark.read.schema(TARGET_DDL).parquet(f"{self.path}/version={kept[-1]}")
-
-    def merge(self, readings: DataFrame, version: int) -> None:
-        merged = upsert_latest(self.read(before=version), readings)
-        merged.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+def upsert_batches(table: Versions) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that merges each micro-batch into the table."""
 
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table.write(upsert_latest(table.read(before=batch_id), batch), batch_id)
 
-def upsert_batches(table: VersionedTable) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges each micro-batch into the table."""
-    return lambda batch, batch_id: table.merge(batch, batch_id)
+    return merge
