@@ -35,8 +35,8 @@ def split_lines(text: Column) -> Column:
 
 def wrap_int(value: Column) -> Column:
     """Keep the low 32 bits of a BIGINT as a signed INT (ANSI casts raise instead)."""
-    low = (value.cast("bigint") + F.lit(INT31)).bitwiseAND(F.lit(UINT32))
-    return (low - F.lit(INT31)).cast("int")
+    low = value.cast("bigint").bitwiseAND(F.lit(UINT32))
+    return F.when(low >= INT31, low - F.lit(UINT32 + 1)).otherwise(low).cast("int")
 
 
 # Fold of h*31 + unit over UTF-16 units, modulo 2**32; larger code points are two units.

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from thermoweave.sources.readings import event_time, parse_readings
 
@@ -19,14 +24,35 @@ def stream_lines(
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
 
 
+def with_arrival(stream: DataFrame) -> DataFrame:
+    """Add ``seq``: the arrival number inside the micro-batch, in file and line order.
+
+    Streams have no built-in row number, so Arrow batches are numbered as they pass: task
+    number in the high bits, position in the task in the low ones. A task that runs again
+    gives the same numbers.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            seq = pa.array(range(at, at + batch.num_rows), pa.int64())
+            at += batch.num_rows
+            yield batch.append_column("seq", seq)
+
+    return stream.mapInArrow(number, StructType([*stream.schema, StructField("seq", LongType())]))
+
+
 def stream_readings(
-    spark: SparkSession, path: str, unit: str = "s", files_per_trigger: int = FILES_PER_TRIGGER
+    spark: SparkSession,
+    path: str,
+    unit: str = "s",
+    files_per_trigger: int = FILES_PER_TRIGGER,
+    arrival: bool = False,
 ) -> DataFrame:
-    """Typed readings with ``ts`` and the arrival number ``seq`` inside the micro-batch."""
-    lines = stream_lines(spark, path, files_per_trigger)
-    numbered = lines.withColumn("seq", F.monotonically_increasing_id())
-    typed = parse_readings(numbered)
-    return typed.withColumn("ts", event_time(F.col("timestamp"), unit))
+    """Typed readings with ``ts``; with ``arrival`` also ``seq``, for order-dependent work."""
+    typed = parse_readings(stream_lines(spark, path, files_per_trigger))
+    numbered = with_arrival(typed) if arrival else typed
+    return numbered.withColumn("ts", event_time(F.col("timestamp"), unit))
 
 
 def stream_messages(
