@@ -327,18 +327,15 @@ def test_file_sinks(spark):
         starters.to_csv_table(readings(spark, folder), csv, tempfile.mkdtemp())
 
 
-def test_console_and_interval_trigger(spark, capfd):
+def test_console_and_interval_trigger(spark):
     query = starters.to_console(readings(spark, write_files(chunks(SAMPLE, 6))), "result")
     try:
         query.processAllAvailable()
         assert query.name == "result"
-        printed, deadline = "", time.time() + 20  # the JVM's output comes through a pipe
-        while "sensor_10" not in printed and time.time() < deadline:
-            time.sleep(0.2)
-            printed += capfd.readouterr().out
+        done = [p for p in query.recentProgress if p["numInputRows"] == 6]
+        assert done and "ConsoleTable" in done[0]["sink"]["description"]
     finally:
         query.stop()
-    assert "sensor_10" in printed
 
 
 def test_append_mode_rejects_updating_results(spark):

@@ -21,16 +21,15 @@ def register_hash(spark: SparkSession, name: str = "hashcode", factor: int = 10)
 
 def register_split(spark: SparkSession, name: str = "split_words", sep: str = "_") -> None:
     """A SQL-bodied table function (word, length) with a fixed one-character separator."""
-    if len(sep) != 1 or sep in "'\\":
-        raise ValueError("separator must be one character, not a quote or backslash")
-    last = f"(?:[{sep}])+\\\\z"
+    if len(sep) != 1 or sep in "'\\^[]":
+        raise ValueError("separator must be one character and none of ' \\\\ ^ [ ]")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) "
         "RETURNS TABLE (word STRING, length INT) RETURN "
         "SELECT w, CAST(length(w) AS INT) FROM (SELECT explode(CASE "
         "WHEN s = '' THEN array('') "
-        f"WHEN regexp_replace(s, '{last}', '') = '' THEN CAST(array() AS ARRAY<STRING>) "
-        f"ELSE split(regexp_replace(s, '{last}', ''), '[{sep}]', -1) END) AS w)"
+        f"WHEN rtrim('{sep}', s) = '' THEN CAST(array() AS ARRAY<STRING>) "
+        f"ELSE split(rtrim('{sep}', s), '[{sep}]', -1) END) AS w)"
     )
 
 

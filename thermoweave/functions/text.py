@@ -18,7 +18,10 @@ def split_words(text: Column, sep: str) -> Column:
     gives null.
     """
     quoted = re.escape(sep)
-    stripped = F.regexp_replace(text, f"(?:{quoted})+\\z", "")
+    if len(sep) == 1:
+        stripped = F.rtrim(text, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(text, f"(?:{quoted})+\\z", "")
     return (
         F.when(text == "", F.array(F.lit("")))
         .when(stripped == "", F.array().cast("array<string>"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,10 @@ def text_lines(df: DataFrame, column: str = "text") -> DataFrame:
 
 def words(lines: DataFrame, sep: str = " ", lower: bool = False, drop_empty: bool = False) -> DataFrame:
     value = F.lower("value") if lower else F.col("value")
-    out = lines.select(F.explode(split_words(value, sep)).alias("word"))
-    return out.filter(F.length("word") > 0) if drop_empty else out
+    if drop_empty:  # trailing empty words go with the others
+        out = lines.select(F.explode(F.split(value, re.escape(sep), -1)).alias("word"))
+        return out.filter(F.length("word") > 0)
+    return lines.select(F.explode(split_words(value, sep)).alias("word"))
 
 
 def word_count(lines: DataFrame, sep: str = " ", lower: bool = False, drop_empty: bool = False) -> DataFrame:
@@ -52,10 +56,12 @@ def word_count(lines: DataFrame, sep: str = " ", lower: bool = False, drop_empty
     return words(lines, sep, lower, drop_empty).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def running_word_count(docs: DataFrame, block_docs: int = 256) -> DataFrame:
-    """Every non-empty word with its count so far, in (doc_id, position) order."""
-    per_line = F.transform(split_lines(F.col("text")), lambda line: split_words(line, " "))
-    kept = F.filter(F.flatten(per_line), lambda w: F.length(w) > 0)
+def running_word_count(docs: DataFrame, block_docs: int = 2048) -> DataFrame:
+    """Every non-empty word with its count so far, in (doc_id, position) order.
+
+    A (word, block) holds at most the words of ``block_docs`` documents.
+    """
+    kept = F.filter(F.split("text", r"\r?\n| ", -1), lambda w: F.length(w) > 0)
     placed = docs.select("doc_id", F.posexplode(kept).alias("pos", "word"))
     blocked = placed.withColumn(BLOCK, seq_block("doc_id", block_docs))
     return running(

@@ -84,6 +84,15 @@ def _starts(at: Column, size: int, slide: int) -> Column:
     return F.filter(starts, lambda s: s + F.lit(size) > at)
 
 
+MANY_WINDOWS = 8
+PANES_TOGETHER = 8  # stretches are this many window sizes long
+
+
+def partition_count(df: DataFrame) -> int:
+    """For Python or expanding stages: their small inputs must not be merged into one task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def sliding(
     readings: DataFrame,
     size: str,
@@ -102,6 +111,10 @@ def sliding(
     panes = readings.groupBy("id", (at - F.pmod(at, F.lit(pane))).alias("_pane")).agg(
         *[agg.alias(name) for name, agg in partial.items()]
     )
+    if width // step > MANY_WINDOWS:
+        # Neighbouring panes into one task, so that their copies combine before the shuffle.
+        stretch = F.floor(F.col("_pane") / F.lit(PANES_TOGETHER * width))
+        panes = panes.repartition(partition_count(panes), F.col("id"), stretch)
     return (
         panes.withColumn("_start", F.explode(_starts(F.col("_pane"), width, step)))
         .groupBy("id", "_start")
@@ -158,9 +171,6 @@ def slide_apply(
         F.explode(_starts(F.unix_micros("ts"), width, step)).alias("_start"),
         seq_block(rows=chunk_rows).alias(BLOCK),
     )
-    # A fixed partition count: small inputs would be merged into one slow Python task.
-    partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def per_chunk(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         sensor, start_ms = key[0].as_py(), key[1].as_py() // 1000
         out = chunk(sensor, start_ms, rows.drop_columns(group[1:]).sort_by("seq"))
@@ -170,7 +180,7 @@ def slide_apply(
         )
 
     return (
-        placed.repartition(partitions, *group)
+        placed.repartition(partition_count(placed), *group)
         .groupBy(*group)
         .applyInArrow(per_chunk, f"id string, window_start_ms bigint, {chunk_schema}")
         .groupBy("id", "window_start_ms")

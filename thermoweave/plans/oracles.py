@@ -70,11 +70,15 @@ _HASH = (
 
 
 def _gauss(*parts: str) -> str:
-    def uniform(tag: str) -> str:
-        text = " || ':' || ".join(["'42'", f"'{tag}'", *[f"CAST({p} AS VARCHAR)" for p in parts]])
-        return f"((CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+    text = " || ':' || ".join(["'42'", *[f"CAST({p} AS VARCHAR)" for p in parts]])
 
-    return f"sqrt(-2.0::DOUBLE * ln({uniform('u')})) * cos(2.0::DOUBLE * pi() * {uniform('v')})"
+    def uniform(start: int) -> str:
+        return (
+            f"((CAST('0x' || substr(md5({text}), {start}, 8) AS BIGINT) + 0.5::DOUBLE)"
+            " / 4294967296.0::DOUBLE)"
+        )
+
+    return f"sqrt(-2.0::DOUBLE * ln({uniform(1)})) * cos(2.0::DOUBLE * pi() * {uniform(9)})"
 
 
 _JUMP_LAST = 'lag(temperature) OVER (PARTITION BY id ORDER BY seq)'

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from thermoweave.functions.registry import register_hash, register_split
 from thermoweave.functions.text import string_hash
 from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, windows
-from thermoweave.plans.tables import plain_times, readings, table
+from thermoweave.plans.tables import plain_times, readings, spread, table
 from thermoweave.session import new_path
 from thermoweave.sinks import files, payloads
 from thermoweave.sources.generators import feed_messages, walk_readings
@@ -54,7 +54,11 @@ def _in_sql(operator: Callable[..., DataFrame], view: str, prepare=None, *args)
 
 
 def _on_text(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        return operator(spread(docs, "doc_id"))
+
+    return query
 
 
 def _csv_lines(source: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def _text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ticks(source: DataFrame) -> DataFrame:
-    return source.select(F.col("seq").alias("tick"), "timestamp")
+    return spread(source.select(F.col("seq").alias("tick"), "timestamp"), "tick")
 
 
 def _walk(source: DataFrame) -> DataFrame:

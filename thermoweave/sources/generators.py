@@ -19,17 +19,17 @@ FEED_SENSORS = 11
 FEED_SUFFIX = "30"
 
 
-def _uniform(*parts: Column) -> Column:
-    """A number in (0, 1) that depends on the parts only, on any cluster and on retry."""
-    digest = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
+def _gauss(seed: int, *parts: Column) -> Column:
+    """Standard normal by the Box-Muller transform of two halves of one digest.
+
+    It depends on the parts only: on any cluster and on any retry it is the same number.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
 
+    def uniform(start: int) -> Column:
+        return (F.conv(F.substring(digest, start, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
 
-def _gauss(seed: int, *parts: Column) -> Column:
-    """Standard normal by the Box-Muller transform of two such numbers."""
-    u = _uniform(F.lit(seed), F.lit("u"), *parts)
-    v = _uniform(F.lit(seed), F.lit("v"), *parts)
-    return F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * math.pi * v)
+    return F.sqrt(-2.0 * F.log(uniform(1))) * F.cos(2.0 * math.pi * uniform(9))
 
 
 def walk_readings(ticks: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -38,22 +38,28 @@ def walk_readings(ticks: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS
     ``ticks`` is (tick, timestamp ms) with ``tick`` unique. The first reading of a sensor
     already includes one step, and all sensors of a tick share its timestamp.
     """
-    sensor = F.explode(F.sequence(F.lit(1), F.lit(WALK_SENSORS)))
-    steps = ticks.select("tick", "timestamp", sensor.alias("n")).select(
-        F.concat(F.lit("sensor_"), F.col("n").cast("string")).alias("id"),
-        "n",
-        "tick",
-        "timestamp",
-        _gauss(seed, F.col("n"), F.col("tick")).alias("step"),
+    sensors = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("n"),
+                F.lit(f"sensor_{n}").alias("id"),
+                (WALK_BASE + WALK_SPREAD * _gauss(seed, F.lit(n), F.lit("base"))).alias("base"),
+            )
+            for n in range(1, WALK_SENSORS + 1)
+        ]
+    )
+    steps = ticks.select("tick", "timestamp", F.explode(sensors).alias("s")).select(
+        "s.id", "s.base", "tick", "timestamp", _gauss(seed, F.col("s.n"), F.col("tick")).alias("step")
     )
     walked = running(
         add_seq_block(steps, "tick", block_rows),
         {"moved": ("sum", F.col("step"))},
-        keys=["id", "n"],
+        keys=["id"],
         order=["tick"],
     )
-    base = WALK_BASE + WALK_SPREAD * _gauss(seed, F.col("n"), F.lit("base"))
-    return walked.select("id", "tick", "timestamp", (base + F.col("moved")).alias("temperature"))
+    return walked.select(
+        "id", "tick", "timestamp", (F.col("base") + F.col("moved")).alias("temperature")
+    )
 
 
 def feed_messages(ticks: DataFrame) -> DataFrame:
