@@ -103,18 +103,15 @@ def lateness_firings(
     wm = F.coalesce("wm_ms", F.lit(-(2**62)))
     kept = placed.filter(F.col("last_ms") + F.lit(micros(lateness) // 1000) > wm)
     fired = F.col("last_ms") <= wm
-    on_time = (
-        kept.filter(~fired).groupBy("id", "_start").agg(F.count("*").alias("cnt"))
-    )
-    regular = on_time.select("id", "_start", F.lit(0).cast("bigint").alias("firing"), "cnt")
-    again = running(
-        add_seq_block(kept.filter(fired).select("seq", "id", "_start"), rows=block_rows),
-        {"firing": ("sum", F.lit(1))},
+    # A window's elements in time are one row of their own, in front of the late ones.
+    regular = kept.filter(~fired).groupBy("id", "_start").agg(F.count("*").alias("n"))
+    late = kept.filter(fired).select("id", "_start", "seq", F.lit(1).cast("bigint").alias("n"))
+    steps = regular.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(late)
+    counted = running(
+        add_seq_block(steps, rows=block_rows),
+        {"cnt": ("sum", F.col("n")), "firing": ("sum", (F.col("seq") >= 0).cast("bigint"))},
         ["id", "_start"],
     )
-    late = again.join(on_time, ["id", "_start"], "left").select(
-        "id", "_start", "firing", (F.col("firing") + F.coalesce("cnt", F.lit(0))).alias("cnt")
-    )
-    return regular.unionByName(late).select(
+    return counted.select(
         "id", (F.col("_start") / 1000).cast("bigint").alias("window_start_ms"), "firing", "cnt"
     )
