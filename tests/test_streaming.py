@@ -10,10 +10,10 @@ import pytest
 from conftest import BASE, SAMPLE
 from pyspark.sql import functions as F
 
-from thermoweave.operators import aggregate, alerts, eventtime, rolling, windows
+from thermoweave.operators import alerts, rolling, windows
 from thermoweave.operators.project import rename_project
 from thermoweave.sinks import payloads
-from thermoweave.sinks.upsert import merge_statement, stage_jdbc, upsert_batches, upsert_table
+from thermoweave.sinks.upsert import merge_statement, upsert_batches, upsert_table
 from thermoweave.sources.generators import SensorWalkSource
 from thermoweave.sources.log import decode_log, log_table
 from thermoweave.streaming import batches, processors, sources, starters
@@ -312,6 +312,25 @@ def test_walk_source(spark):
     assert all(0 < abs(one[i] - two[i]) < 6 for i in one)
 
 
+def test_feed_stream(spark):
+    seen = []
+    query = starters.to_batches(
+        sources.feed_stream(spark, every_seconds=1),
+        lambda batch, _: seen.extend(tuple(r) for r in batch.collect()),
+        tempfile.mkdtemp(),
+        every="500 milliseconds",
+    )
+    try:
+        deadline = time.time() + 60
+        while len(seen) < 22 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert len(seen) >= 22 and len(seen) % 11 == 0
+    assert {key for key, _ in seen} == {f"key-{i}" for i in range(11)}
+    assert all(value.endswith("30") and value.startswith("sensor_") for _, value in seen)
+
+
 def test_file_sinks(spark):
     folder = write_files(chunks(SAMPLE, 3))
     text, csv = tempfile.mkdtemp(prefix="text-"), tempfile.mkdtemp(prefix="csv-")
@@ -359,7 +378,10 @@ def test_upsert_stream(spark):
     want = {S1: 20.5, "sensor_10": 38.1, "sensor_6": 15.4, "sensor_7": 6.7, "sensor_8": 1.5}
     assert dict(map(tuple, table.read().collect())) == want
     # a micro-batch that runs twice changes nothing
-    upsert_batches(table)(table.read(before=-1).selectExpr("sensor AS id", "temperature", "0L AS seq"), 2)
+    again = spark.createDataFrame([(S1, 20.5, 0), ("sensor_8", 1.5, 1)], "id string, temperature double, seq bigint")
+    upsert_batches(table)(again, 2)
+    assert dict(map(tuple, table.read().collect())) == want
+    assert "WHEN NOT MATCHED THEN INSERT" in merge_statement("temp", "staged")
 
 
 def test_hook_sends_every_row(spark):

@@ -41,32 +41,34 @@ def rise_alert(readings: DataFrame, interval: str = "10 seconds", block_rows: in
     moves = compared.withColumn("drop", drop).filter(F.col("temperature") != F.col("last"))
     staged = running(moves, {"drops": ("sum", F.col("drop"))}, ["id"], order)
     # A drop closes the stretch before it.
-    stretch = F.col("drops") - F.col("drop")
     at = F.unix_micros("ts")
-    stretches = staged.groupBy("id", stretch.alias("stretch")).agg(
-        F.array_sort(F.collect_list(F.when(F.col("drop") == 0, at))).alias("rises"),
-        F.max(F.when(F.col("drop") == 1, at)).alias("stopped"),
+    stretch = Window.partitionBy("id", "stretch")
+    closed = staged.withColumn("stretch", F.col("drops") - F.col("drop")).withColumn(
+        "stopped", F.max(F.when(F.col("drop") == 1, at)).over(stretch)
     )
-    return _fire(stretches, wait).select(
+    # A timer started too close to the drop never fires, and nothing follows it.
+    timely = F.col("stopped").isNull() | (at + wait <= F.col("stopped"))
+    stretches = (
+        closed.filter((F.col("drop") == 0) & timely)
+        .groupBy("id", "stretch", "stopped")
+        .agg(F.array_sort(F.collect_list(at)).alias("rises"))
+    )
+    return stretches.select("id", F.explode(_due_times("rises", wait)).alias("due")).select(
         "id",
         F.timestamp_micros("due").alias("alert_ts"),
         F.lit(rise_message(interval)).alias("message"),
     )
 
 
-def _fire(stretches: DataFrame, wait: Column) -> DataFrame:
-    """Due times that are reached: not after the drop that ends the stretch."""
-    none = F.array().cast("array<bigint>")
-    dues = F.aggregate(
-        "rises",
-        none,
+def _due_times(rises: str, wait: Column) -> Column:
+    """Due times of the timers started along the rises: one at a time, first come first."""
+    return F.aggregate(
+        rises,
+        F.array().cast("array<bigint>"),
         lambda due, t: F.when(
             (F.size(due) == 0) | (t >= F.element_at(due, -1)), F.concat(due, F.array(t + wait))
         ).otherwise(due),
     )
-    return stretches.select("id", "stopped", F.explode(dues).alias("due")).filter(
-        F.col("stopped").isNull() | (F.col("due") <= F.col("stopped"))
-    )
 
 
 BANDS = (10.0, 30.0)
@@ -102,7 +104,7 @@ def sensor_profile(readings: DataFrame, latest: int = 3) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("seq", "temperature"))).alias("_tail"))
         .select("id", F.array_join(F.transform("_tail", lambda r: r["temperature"].cast("string")), ";").alias("latest_temps"))
     )
-    return base.join(tail, "id")
+    return base.join(tail, base["id"].eqNullSafe(tail["id"])).drop(tail["id"])
 
 
 def upsert_latest(target: DataFrame, readings: DataFrame) -> DataFrame:

@@ -95,12 +95,14 @@ def lateness_firings(
     then, and again for each element that comes later but not beyond ``lateness``. Output:
     (id, window_start_ms, firing, cnt); firing 0 is the regular one.
     """
-    met = with_watermark_before(readings.select("seq", "id", "ts"), delay, None, block_rows)
+    wm = F.coalesce("wm_ms", F.lit(-(2**62)))
+    met = mark_late(
+        readings.select("seq", "id", "ts"), size, slide, delay, lateness, None, block_rows
+    ).filter(~F.col("late"))
     start = F.explode(_starts(F.unix_micros("ts"), micros(size), micros(slide)))
     placed = met.select("seq", "id", "wm_ms", start.alias("_start")).withColumn(
         "last_ms", ((F.col("_start") + F.lit(micros(size))) / 1000).cast("bigint") - 1
     )
-    wm = F.coalesce("wm_ms", F.lit(-(2**62)))
     kept = placed.filter(F.col("last_ms") + F.lit(micros(lateness) // 1000) > wm)
     fired = F.col("last_ms") <= wm
     # A window's elements in time are one row of their own, in front of the late ones.

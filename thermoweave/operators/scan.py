@@ -30,6 +30,7 @@ from pyspark.sql.window import WindowSpec
 
 BLOCK_ROWS = 1 << 20
 MAX_TIME_BINS = 10_000
+_PARTS = 1 << 44  # bin number and part of a bin share one BIGINT
 BLOCK = "_block"
 HALO = "is_halo"
 
@@ -54,18 +55,17 @@ def add_time_block(
     numbers on the driver). An instant that fills whole bins is cut further by ``seq``, so
     equal timestamps cannot pile up in one block either.
     """
-    micros = F.unix_micros(F.col(ts)).cast("double")
-    one_bin = F.struct(F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("part"))
     total = df.count()
     bins = min(MAX_TIME_BINS, math.ceil(total / rows))
     if bins <= 1:
-        return df.withColumn(BLOCK, one_bin)
+        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
 
+    micros = F.unix_micros(F.col(ts)).cast("double")
     shares = [i / bins for i in range(1, bins)]
     cuts = df.agg(F.percentile_approx(micros, shares, 10 * bins).alias("cuts")).first()["cuts"]
-    if not cuts:
-        return df.withColumn(BLOCK, one_bin)
-    edges = sorted(set(cuts))
+    edges = sorted(set(cuts or []))
+    if not edges:
+        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
     crowded = sorted(c for c in edges if cuts.count(c) > 1)
     binned = Bucketizer(
         splits=[-math.inf, *edges, math.inf],
@@ -74,11 +74,13 @@ def add_time_block(
         handleInvalid="error",
     ).transform(df.withColumn("_micros", F.coalesce(micros, F.lit(-math.inf))))
     # A crowded instant is the lower edge of its bin: its rows come first in the bin.
-    after = F.lit(2**63 - 1).cast("bigint")
-    part = F.when(F.col("_micros").isin(crowded), seq_block(seq, rows)).otherwise(after)
-    return binned.withColumn(
-        BLOCK, F.struct(F.col("_bin").cast("int").alias("bin"), (part if crowded else after).alias("part"))
-    ).drop("_micros", "_bin")
+    part = F.lit(_PARTS - 1)
+    if crowded:
+        cut = F.least(seq_block(seq, rows), F.lit(_PARTS - 2))
+        part = F.when(F.col("_micros").isin(crowded), cut).otherwise(part)
+    return binned.withColumn(BLOCK, F.col("_bin").cast("bigint") * _PARTS + part).drop(
+        "_micros", "_bin"
+    )
 
 
 def _by(keys: Sequence[str]) -> list:

@@ -77,11 +77,14 @@ def tumble_offset(readings: DataFrame, size: str = "1 hour", offset: str = "-8 h
 
 
 def _starts(at: Column, size: int, slide: int) -> Column:
-    """Starts (epoch micros) of all sliding windows that hold the instant ``at``."""
-    newest = at - F.pmod(at, F.lit(slide))
-    steps = F.sequence(F.lit(0).cast("bigint"), F.lit(math.ceil(size / slide) - 1).cast("bigint"))
-    starts = F.transform(steps, lambda i: newest - i * F.lit(slide))
-    return F.filter(starts, lambda s: s + F.lit(size) > at)
+    """Starts (epoch micros) of all sliding windows that hold the instant ``at``.
+
+    Null where windows leave gaps and the instant is in one: ``explode`` drops such a row.
+    """
+    past = F.pmod(at, F.lit(slide))  # since the newest start
+    newest = at - past
+    older = F.floor((F.lit(size - 1) - past) / slide).cast("bigint")
+    return F.when(past < size, F.sequence(newest - older * slide, newest, F.lit(slide)))
 
 
 MANY_WINDOWS = 8

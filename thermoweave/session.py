@@ -47,19 +47,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where ``spark.checkpoint.dir`` is unset (local tests) a temporary folder is made
-    and recorded, so that later calls in the session get the same one.
+    Only where that is unset and the session is local (tests) a temporary folder is made,
+    one per application.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        path = tempfile.mkdtemp(prefix="thermoweave-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="thermoweave-")
+    return _LOCAL_DIRS[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -274,9 +274,8 @@ def over_rows(stream: DataFrame, preceding: int = 2) -> DataFrame:
 class RiseAlert(StatefulProcessor):
     """A rise starts a processing-time timer, a drop stops it, and it fires as an alert."""
 
-    def __init__(self, interval: str):
-        self.wait_ms = micros(interval) // 1000
-        self.message = rise_message(interval)
+    def __init__(self, wait_ms: int, message: str):
+        self.wait_ms, self.message = wait_ms, message
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -308,7 +307,7 @@ class RiseAlert(StatefulProcessor):
 def rise_alert(stream: DataFrame, interval: str = "10 seconds") -> DataFrame:
     return _run(
         stream.select("seq", "id", "temperature"),
-        RiseAlert(interval),
+        RiseAlert(micros(interval) // 1000, rise_message(interval)),
         "id string, alert_ms bigint, message string",
         "ProcessingTime",
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from thermoweave.sources.generators import feed_messages
 from thermoweave.sources.readings import event_time, parse_readings
 
 # A micro-batch takes at most this many files, so its size is bounded.
@@ -61,3 +62,10 @@ def stream_messages(
     """(key, value) rows from JSON files: the shape of a message log without the log."""
     reader = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
+
+
+def feed_stream(spark: SparkSession, every_seconds: int = 3) -> DataFrame:
+    """(key, value) messages of the eleven feed sensors at every ``every_seconds``, endless."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    ticks = clock.filter(F.col("value") % every_seconds == 0)
+    return feed_messages(ticks.select(F.unix_millis("timestamp").alias("timestamp")))
