@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 from thermoweave.functions.registry import register_hash, register_split
 from thermoweave.functions.text import string_hash
 from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, windows
+from thermoweave.operators.scan import BLOCK_ROWS
 from thermoweave.plans.tables import plain_times, readings, spread, table
 from thermoweave.session import new_path
 from thermoweave.sinks import files, payloads
 from thermoweave.sources.generators import feed_messages, walk_readings
-from thermoweave.sources.readings import parse_readings, read_csv_table, shuffled_arrivals
+from thermoweave.sources.readings import (
+    ARRIVAL_SPREAD,
+    parse_readings,
+    read_csv_table,
+    shuffled_arrivals,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +33,13 @@ SLIDE = ("12 hours", "4 hours")
 SESSION_GAP = "30 minutes"
 RISE = "30 minutes"
 MIDDLE = "2024-01-16 00:00:00"
-LATE = {"size": "2 hours", "slide": "1 hour", "delay": "10 minutes", "lateness": "3 hours"}
+LATE = {
+    "size": "2 hours",
+    "slide": "1 hour",
+    "delay": "10 minutes",
+    "lateness": "3 hours",
+    "block_rows": BLOCK_ROWS * ARRIVAL_SPREAD,  # shuffled arrivals use one number in 512
+}
 
 
 def _on_readings(operator: Callable[..., DataFrame], *args, **params) -> Query:

@@ -13,6 +13,7 @@ READING = StructType(
         StructField("temperature", DoubleType()),
     ]
 )
+ARRIVAL_SPREAD = 512
 UNITS = {"s": F.timestamp_seconds, "ms": F.timestamp_millis}
 
 
@@ -82,7 +83,7 @@ def sensor_readings(events: DataFrame) -> DataFrame:
     )
 
 
-def shuffled_arrivals(readings: DataFrame, spread: int = 512) -> DataFrame:
+def shuffled_arrivals(readings: DataFrame, spread: int = ARRIVAL_SPREAD) -> DataFrame:
     """The same readings with arrival numbers displaced by up to ``spread`` positions.
 
     The displacement depends on ``seq`` modulo ``spread`` only, so the new numbers stay
