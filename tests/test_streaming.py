@@ -308,6 +308,12 @@ def test_walk_source(spark):
     for tick in ticks:
         assert {r.id for r in tick} == {f"sensor_{i}" for i in range(1, 11)}
         assert len({r.timestamp for r in tick}) == 1
+    reader = SensorWalkSource({"seed": "1"}).simpleStreamReader(None)
+    begin = reader.initialOffset()
+    later = reader._next(reader._next(begin))
+    again = json.loads(json.dumps(later))
+    assert list(reader.readBetweenOffsets(begin, later)) == list(reader.readBetweenOffsets(begin, again))
+    assert len(list(reader.readBetweenOffsets(begin, later))) == 20
     one, two = ({r.id: r.temperature for r in tick} for tick in ticks[:2])
     assert all(0 < abs(one[i] - two[i]) < 6 for i in one)
 

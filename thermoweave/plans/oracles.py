@@ -94,13 +94,14 @@ def oracles() -> dict[str, str]:
             f"""
 s AS (
   SELECT n, 'sensor_' || CAST(n AS VARCHAR) AS id, seq AS tick, "timestamp",
-         {_gauss('n', 'seq')} AS step
+         CAST(round(({_gauss('n', 'seq')}) * 1000000) AS BIGINT) AS step,
+         CAST(round((60.0::DOUBLE + 20.0::DOUBLE * {_gauss('n', "'base'")}) * 1000000) AS BIGINT) AS base
   FROM r, range(1, 11) AS sensors(n)
 )""",
-            f"""
+            """
 SELECT id, tick, "timestamp",
-       round(60.0 + 20.0 * {_gauss('n', "'base'")}
-             + sum(step) OVER (PARTITION BY n ORDER BY tick ROWS UNBOUNDED PRECEDING), 6) AS temperature
+       CAST(base + sum(step) OVER (PARTITION BY n ORDER BY tick ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         / 1000000.0::DOUBLE AS temperature
 FROM s""",
         ),
         "gen_feed": _r(

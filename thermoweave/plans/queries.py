@@ -196,7 +196,7 @@ def registered() -> dict[str, Query]:
         # sources
         "parse_readings": _on_readings(_parse),
         "src_csv_table": _csv_table,
-        "gen_readings": _on_readings(_rounded(_walk, "temperature")),
+        "gen_readings": _on_readings(_walk),
         "gen_feed": _on_readings(_feed),
         # sinks
         "sink_text_roundtrip": _text_roundtrip,

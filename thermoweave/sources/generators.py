@@ -32,24 +32,35 @@ def _gauss(seed: int, *parts: Column) -> Column:
     return F.sqrt(-2.0 * F.log(uniform(1))) * F.cos(2.0 * math.pi * uniform(9))
 
 
+def _millionths(value: Column) -> Column:
+    return F.round(value * 1_000_000).cast("bigint")
+
+
 def walk_readings(ticks: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One reading per sensor and tick: a random walk from ``60 + 20*N(0,1)``.
 
     ``ticks`` is (tick, timestamp ms) with ``tick`` unique. The first reading of a sensor
-    already includes one step, and all sensors of a tick share its timestamp.
+    already includes one step, and all sensors of a tick share its timestamp. Steps are
+    added as whole millionths, so the order of addition makes no difference.
     """
     sensors = F.array(
         *[
             F.struct(
                 F.lit(n).alias("n"),
                 F.lit(f"sensor_{n}").alias("id"),
-                (WALK_BASE + WALK_SPREAD * _gauss(seed, F.lit(n), F.lit("base"))).alias("base"),
+                _millionths(
+                    WALK_BASE + WALK_SPREAD * _gauss(seed, F.lit(n), F.lit("base"))
+                ).alias("base"),
             )
             for n in range(1, WALK_SENSORS + 1)
         ]
     )
     steps = ticks.select("tick", "timestamp", F.explode(sensors).alias("s")).select(
-        "s.id", "s.base", "tick", "timestamp", _gauss(seed, F.col("s.n"), F.col("tick")).alias("step")
+        "s.id",
+        "s.base",
+        "tick",
+        "timestamp",
+        _millionths(_gauss(seed, F.col("s.n"), F.col("tick"))).alias("step"),
     )
     walked = running(
         add_seq_block(steps, "tick", block_rows),
@@ -57,9 +68,8 @@ def walk_readings(ticks: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS
         keys=["id"],
         order=["tick"],
     )
-    return walked.select(
-        "id", "tick", "timestamp", (F.col("base") + F.col("moved")).alias("temperature")
-    )
+    temperature = (F.col("base") + F.col("moved")) / 1_000_000.0
+    return walked.select("id", "tick", "timestamp", temperature.alias("temperature"))
 
 
 def feed_messages(ticks: DataFrame) -> DataFrame:
@@ -94,46 +104,44 @@ class SensorWalkSource(DataSource):
 
 
 class _WalkReader(SimpleDataSourceStreamReader):
-    """The offset holds tick number, wall clock and seed; a tick is a function of those."""
+    """The offset holds the tick, its ten temperatures and the start time.
+
+    Each tick follows from the one before, so a restart gives the same rows again.
+    """
 
     def __init__(self, options):
         self.seed = int(options.get("seed", "42"))
         self.pause = int(options.get("tickMillis", "1000"))
-        self.temps: dict[int, list[float]] = {}
 
     def initialOffset(self):
-        return {"tick": 0, "millis": int(time.time() * 1000)}
-
-    def _temps(self, tick: int) -> list[float]:
-        if tick not in self.temps:
-            rng = random.Random(self.seed)
-            known = [WALK_BASE + WALK_SPREAD * rng.gauss(0, 1) for _ in range(WALK_SENSORS)]
-            done = 0
-            if self.temps:
-                done = max(t for t in self.temps if t < tick) if min(self.temps) < tick else 0
-                known = self.temps.get(done, known)
-            for t in range(done + 1, tick + 1):
-                rng = random.Random(f"{self.seed}:{t}")
-                known = [x + rng.gauss(0, 1) for x in known]
-            self.temps = {tick: known}
-        return self.temps[tick]
-
-    def _rows(self, tick: int, millis: int):
-        return [
-            (f"sensor_{i}", millis, temp) for i, temp in enumerate(self._temps(tick), start=1)
-        ]
+        rng = random.Random(self.seed)
+        temps = [WALK_BASE + WALK_SPREAD * rng.gauss(0, 1) for _ in range(WALK_SENSORS)]
+        return {"tick": 0, "origin": int(time.time() * 1000), "temps": temps}
+
+    def _next(self, offset):
+        tick = offset["tick"] + 1
+        rng = random.Random(f"{self.seed}:{tick}")
+        temps = [t + rng.gauss(0, 1) for t in offset["temps"]]
+        return {"tick": tick, "origin": offset["origin"], "temps": temps}
+
+    def _millis(self, offset):
+        return offset["origin"] + offset["tick"] * self.pause
+
+    def _rows(self, offset):
+        millis = self._millis(offset)
+        return [(f"sensor_{i}", millis, t) for i, t in enumerate(offset["temps"], start=1)]
 
     def read(self, start):
-        now = int(time.time() * 1000)
-        if start["tick"] and now < start["millis"] + self.pause:
+        end = self._next(start)
+        if time.time() * 1000 < self._millis(end):
             return iter([]), start
-        end = {"tick": start["tick"] + 1, "millis": now}
-        return iter(self._rows(end["tick"], now)), end
+        return iter(self._rows(end)), end
 
     def readBetweenOffsets(self, start, end):
         rows = []
-        for tick in range(start["tick"] + 1, end["tick"] + 1):
-            rows += self._rows(tick, end["millis"])
+        while start["tick"] < end["tick"]:
+            start = self._next(start)
+            rows += self._rows(start)
         return iter(rows)
 
     def commit(self, end):
