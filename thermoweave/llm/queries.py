@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import lines, minhash
+from thermoweave.llm import lines, minhash, packing, tokenfiles
 from thermoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def registered() -> dict[str, Query]:
     return {
         "op2_minhash_dedup": _over("documents", minhash.near_duplicate_report),
         "op3_line_dedup": _over("documents", lines.line_report),
+        "op4_packing": _over("documents", packing.packing_report),
+        "op6_token_files": lambda spark, sf_dir: tokenfiles.token_file_report(
+            spark, table(spark, sf_dir, "documents")
+        ),
     }
 
 
