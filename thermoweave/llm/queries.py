@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import lines, minhash, packing, tokenfiles
+from thermoweave.llm import egojoin, lines, minhash, multiindex, packing, tokenfiles
 from thermoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,17 +18,20 @@ def _over(name: str, report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_ego_join": _over("embeddings", egojoin.near_vector_report),
         "op2_minhash_dedup": _over("documents", minhash.near_duplicate_report),
         "op3_line_dedup": _over("documents", lines.line_report),
         "op4_packing": _over("documents", packing.packing_report),
         "op6_token_files": lambda spark, sf_dir: tokenfiles.token_file_report(
             spark, table(spark, sf_dir, "documents")
         ),
+        "op8_multi_index": _over("embeddings", multiindex.neighbour_report),
     }
 
 
 def oracles() -> dict[str, str]:
     return {
+        "op1_ego_join": egojoin.REPORT_SQL,
         "op2_minhash_dedup": minhash.REPORT_SQL,
         "op3_line_dedup": lines.REPORT_SQL,
     }
