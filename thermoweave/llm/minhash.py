@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ from thermoweave.llm.components import components
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
+PAIRS_PER_ROW = 4  # pairs a slot for which the exact rest replaces further stars
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SHIFT = np.uint64(29)
 
@@ -132,6 +134,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 [pa.array([p[k] for p in keep], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )
 
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = cut(texts.join(ids, "doc_id", "left_semi"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
@@ -150,9 +154,11 @@ def near_duplicates(
 
     1. Documents with equal sets fall into one class, led by the smallest id.
     2. Leaders meet in banded buckets of their one-permutation signatures. A bucket proposes a
-       star: its smallest leader against each other one.
-    3. Confirmed pairs give components. Where a bucket still holds several components, a link may
-       hide between two leaves, so pairs of leaders across components follow, and only those.
+       star: a hub, drawn by hash, against every leader of another component. Confirmed pairs
+       join components, buckets of one component are done, the others draw a new hub. So a
+       large group of near-copies costs a few pairs a document.
+    3. A link may still hide between two leaves. Once stars find nothing more, or once
+       trying all pairs across components of a bucket costs no more than a few turns, these pairs follow.
 
     At a similarity of 0.85 a pair shares no bucket with a chance of 6e-11 (0.8: 5e-8).
     Rows without an id are compared with nothing (component null); texts without words have
@@ -172,47 +178,33 @@ def near_duplicates(
     slots = leaders.select(
         F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")
     )
-    buckets = (
-        slots.groupBy("bucket")
-        .agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last"))
-        .where("hub.id <> last")
-        .drop("last")
-    )
-    crowded = cut(slots.join(buckets, "bucket"))
-    close = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    stars = cut(
-        crowded.where("id <> hub.id")
-        .select(F.col("id").alias("a"), F.col("hub.id").alias("b"), "n", F.col("hub.n").alias("m"))
-        .where(close)
-        .select("a", "b")
-        .distinct()
-    )
+    shared = slots.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
+    open_slots = cut(slots.join(shared, "bucket").withColumn("component", F.col("id")))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = cut(confirmed(stars, _first_texts(texts, stars), words, percent))
-    found = components(first)
-    placed = crowded.select("bucket", "id", "n").join(found, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    mixed = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    apart = cut(placed.join(mixed, "bucket", "left_semi"))
-    other = apart.select("bucket", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    rest = cut(
-        apart.withColumnRenamed("id", "a")
-        .join(other, "bucket")
-        .where("component > c")
-        .where(close)
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    close = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+    tried = links = member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).limit(0)
+    for turn in itertools.count():
+        hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "component"))
+        hubs = open_slots.groupBy("bucket").agg(hub.alias("hub")).select(
+            "bucket", F.col("hub.id").alias("b"), F.col("hub.n").alias("m"), F.col("hub.component").alias("c")
+        )
+        stars = open_slots.withColumnRenamed("id", "a").join(hubs, "bucket").where("component <> c").where(close)
+        stars = cut(stars.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        new = cut(confirmed(stars, texts, words, percent))
+        tried, links = tried.union(stars), links.union(new)
+        if not new.isEmpty():
+            open_slots = cut(_mixed(open_slots, components(links)))
+        rows_left, pairs_left = _work_left(open_slots)
+        if new.isEmpty() or pairs_left <= PAIRS_PER_ROW * rows_left:
+            break
+    other = open_slots.select(
+        "bucket", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("c")
     )
-    second = confirmed(rest, _first_texts(texts, rest), words, percent)
+    rest = open_slots.withColumnRenamed("id", "a").join(other, "bucket").where("component > c").where(close)
+    rest = cut(rest.select("a", "b").distinct().join(_both_ways(tried), ["a", "b"], "left_anti"))
+    second = confirmed(rest, texts, words, percent)
     merged = components(
-        first.union(second).union(member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+        links.union(second).union(member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
     )
     return (
         rows.select("doc_id", "n_shingles")
@@ -221,9 +213,33 @@ def near_duplicates(
     )
 
 
-def _first_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    return texts.join(ids, "doc_id", "left_semi")
+def _mixed(slots: DataFrame, found: DataFrame) -> DataFrame:
+    """Slots of the buckets that hold several components, with their component now."""
+    placed = (
+        slots.drop("component")
+        .join(found, "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+    )
+    mixed = (
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("bucket")
+    )
+    return placed.join(mixed, "bucket", "left_semi").select("bucket", "id", "n", "component")
+
+
+def _work_left(slots: DataFrame) -> tuple[int, int]:
+    """Slots, and pairs of slots of one bucket and different components."""
+    parts = slots.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    buckets = parts.groupBy("bucket").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    return buckets.agg(
+        F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum(F.expr("(k * k - same) div 2")), F.lit(0))
+    ).first()
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.union(pairs.select("b", "a"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import egojoin, lines, minhash, multiindex, packing, tokenfiles
+from thermoweave.llm import egojoin, lines, minhash, multiindex, packing, pagetext, tokenfiles, toxicity
 from thermoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def registered() -> dict[str, Query]:
             spark, table(spark, sf_dir, "documents")
         ),
         "op8_multi_index": _over("embeddings", multiindex.neighbour_report),
+        "op9_main_text": _over("pages", pagetext.page_report),
+        "op10_toxicity": lambda spark, sf_dir: toxicity.toxicity_report(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+        ),
     }
 
 
