@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import lines, minhash
+from thermoweave.llm import lines, minhash, mixing, packing, toxicity
 from thermoweave.llm.common import table
 from thermoweave.session import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents or more share are taken out of the texts."""
     return lines.drop_common_lines(docs)
@@ -23,12 +28,26 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return minhash.keep_one(docs)
 
 
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of domains below their target weight are repeated; none goes, as rates start at 1."""
+    labelled = mixing.quality_domains(docs, table(spark, sf_dir, "labels"))
+    return mixing.repeat_by_rate(docs, labelled, least=1.0)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences, as pieces."""
+    return packing.packing_report(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("line dedup", dedup_lines),
     ("near-duplicates", dedup_documents),
+    ("mixing", mix_domains),
+    ("packing", pack_sequences),
 ]
 
-# The classifiers and the language model of the stages have no SQL form.
+# The classifiers, the language model and the tokenizer of the stages have no SQL form.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import egojoin, lines, minhash, multiindex, packing, pagetext, tokenfiles, toxicity
+from thermoweave.llm import egojoin, lines, minhash, mixing, multiindex, packing, pagetext, pii, tokenfiles, toxicity
 from thermoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +22,13 @@ def registered() -> dict[str, Query]:
         "op2_minhash_dedup": _over("documents", minhash.near_duplicate_report),
         "op3_line_dedup": _over("documents", lines.line_report),
         "op4_packing": _over("documents", packing.packing_report),
+        "op5_pii": _over("documents", pii.pii_report),
         "op6_token_files": lambda spark, sf_dir: tokenfiles.token_file_report(
             spark, table(spark, sf_dir, "documents")
         ),
+        "op7_mixing": lambda spark, sf_dir: mixing.mixing_report(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+        ),
         "op8_multi_index": _over("embeddings", multiindex.neighbour_report),
         "op9_main_text": _over("pages", pagetext.page_report),
         "op10_toxicity": lambda spark, sf_dir: toxicity.toxicity_report(
