@@ -15,14 +15,16 @@ import zlib
 
 import numpy as np
 
-BLOCK = 8192
-LANES = 1024
-SLOTS_1, SLOTS_2 = 11, 13  # bits of the order-1 and order-2 tables
+BLOCK = 2048
+LANES = 4096
+SLOTS_1, SLOTS_2 = 10, 11  # bits of the order-1 and order-2 tables
 EVENT_BITS = CLASS_BITS = 10
 REFRESH = 256  # steps between two rebuilds of the class frequencies
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 WORD = np.uint64(32)
 BOTTOM = np.uint64(1 << 32)
+TRUST_BITS = np.uint64(20)
+TRUST_MASK = np.uint64((1 << 20) - 1)
 # (first id, bits of a class) of the ranges of ids; low ids are the frequent ones.
 RANGES = [(0, 4), (512, 6), (4096, 8), (16384, 10)]
 MAX_ID = 1 << 17
@@ -34,8 +36,8 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for start in range(low, high, 1 << b):
             first.append(start)
             bits.append(b)
-    of_id = np.repeat(np.arange(len(first)), 1 << np.array(bits)).astype(np.uint8)
-    return np.array(first, np.int64), np.array(bits, np.int64), of_id
+    of_id = np.repeat(np.arange(len(first)), 1 << np.array(bits))
+    return np.array(first, np.int64), np.array(bits, np.uint64), of_id
 
 
 CLASS_FIRST, CLASS_SIZE_BITS, CLASS_OF = _classes()
@@ -50,24 +52,30 @@ class Model:
         self.table_2 = np.zeros(lanes << SLOTS_2, np.int32)
         self.lane = np.arange(lanes)
         self.lane_1, self.lane_2 = self.lane << SLOTS_1, self.lane << SLOTS_2
-        self.trust_2 = np.full(lanes * 32, 1 << 14, np.int32)
-        self.trust_1 = np.full(lanes * 32, 1 << 13, np.int32)
+        # Shares of order 2 (upper bits) and order 1 (lower bits), in 65,536ths.
+        self.trust = np.full(lanes * 32, 1 << 34 | 1 << 13, np.uint64)
         self.lane_trust = self.lane * 32
-        self.seen = np.full((lanes, CLASSES), 2, np.int32)
+        self.seen = np.full((lanes, CLASSES), 2, np.int64)
+        self.lane_class = self.lane * CLASSES
+        self.recent: list[np.ndarray] = []  # places in seen that came since the last refresh
         self.last = np.zeros(lanes, np.int64)
         self.hash = np.zeros(lanes, np.int64)
         self.refresh(lanes)
 
     def refresh(self, n: int) -> None:
         """Class frequencies that sum to 2^CLASS_BITS, and the class of every point."""
+        if self.recent:
+            came = np.bincount(np.concatenate(self.recent), minlength=self.seen.size)
+            self.seen += 24 * came.reshape(self.seen.shape)
+            self.recent.clear()
         seen = self.seen[:n]
         total = seen.sum(axis=1, dtype=np.int64)
         spare = (1 << CLASS_BITS) - CLASSES
         share = 1 + seen * spare // total[:, None]
         share[np.arange(n), seen.argmax(axis=1)] += (1 << CLASS_BITS) - share.sum(axis=1)
-        self.freq = share.ravel()
-        self.cum = (np.cumsum(share, axis=1) - share).ravel()
-        self.point = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), n), self.freq)
+        self.freq = share.ravel().astype(np.uint64)
+        self.cum = (np.cumsum(share, axis=1) - share).ravel().astype(np.uint64)
+        self.point = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), n), share.ravel())
         heavy = total > 1 << 15
         seen[heavy] -= seen[heavy] >> 1
 
@@ -76,27 +84,26 @@ class Model:
         last = self.last[:n]
         self.at_1 = self.lane_1[:n] + ((last * 40503 >> 3) & ((1 << SLOTS_1) - 1))
         self.at_2 = self.lane_2[:n] + (self.hash[:n] & ((1 << SLOTS_2) - 1))
-        self.e1, self.e2 = self.table_1[self.at_1], self.table_2[self.at_2]
+        self.e1, self.e2 = self.table_1.take(self.at_1), self.table_2.take(self.at_2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        self.at_t = self.lane_trust[:n] + ((self.e2 & 3) * 8 + (self.e1 & 3) * 2 + (self.p1 == self.p2))
-        self.t2, self.t1 = self.trust_2[self.at_t], self.trust_1[self.at_t]
+        self.c1, self.c2 = self.e1 & 3, self.e2 & 3
+        self.at_t = self.lane_trust[:n] + ((self.c2 << 3) + (self.c1 << 1) + (self.p1 == self.p2))
+        now = self.trust.take(self.at_t)
+        self.t2, self.t1 = now >> TRUST_BITS, now & TRUST_MASK
         self.a = 1 + (self.t2 * 956 >> 16)
         self.b = 1 + ((957 - self.a) * self.t1 >> 16)
 
-    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, miss: np.ndarray) -> None:
-        """Take in the ids that came. hit_1: not hit_2, but the order-1 prediction; miss: indices."""
+    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, places: np.ndarray) -> None:
+        """Take in the ids that came. hit_1: not hit_2, but the order-1 prediction; places of the classes used."""
         e1, e2 = self.e1, self.e2
         fresh = (ids << 2 | 1).astype(np.int32)
-        c2, c1 = e2 & 3, e1 & 3
         right_1 = self.p1 == ids
-        self.table_2[self.at_2] = np.where(hit_2, e2 + (c2 < 3), np.where(c2 > 1, e2 - 1, fresh))
-        self.table_1[self.at_1] = np.where(right_1, e1 + (c1 < 3), np.where(c1 > 1, e1 - 1, fresh))
-        self.trust_2[self.at_t] = self.t2 + (((hit_2.astype(np.int32) << 16) - self.t2) >> 5)
-        self.trust_1[self.at_t] = np.where(
-            hit_2, self.t1, self.t1 + (((hit_1.astype(np.int32) << 16) - self.t1) >> 5)
-        )
-        if len(miss):
-            self.seen[miss, CLASS_OF[ids[miss]]] += 24
+        self.table_2[self.at_2] = np.where(hit_2, e2 + (self.c2 < 3), np.where(self.c2 > 1, e2 - 1, fresh))
+        self.table_1[self.at_1] = np.where(right_1, e1 + (self.c1 < 3), np.where(self.c1 > 1, e1 - 1, fresh))
+        t2 = self.t2 - (self.t2 >> 5) + hit_2 * np.uint64(2048)
+        t1 = np.where(hit_2, self.t1, self.t1 - (self.t1 >> 5) + hit_1 * np.uint64(2048))
+        self.trust[self.at_t] = t2 << TRUST_BITS | t1
+        self.recent.append(places)
         self.hash[:n] = (self.last[:n] * 31321 + ids * 2654435761) >> 7
         self.last[:n] = ids
 
@@ -147,19 +154,19 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         hit_2 = model.p2 == ids
         hit_1 = (model.p1 == ids) & ~hit_2
         r = span[:n] >> event
-        begin = np.where(hit_2, 0, np.where(hit_1, a, a + b)).astype(np.uint64)
-        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - a - b)).astype(np.uint64)
+        ab = a + b
+        begin = np.where(hit_2, 0, np.where(hit_1, a, ab))
+        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - ab))
         lo, sp = low[:n] + r * begin, r * share
         miss = np.flatnonzero(~(hit_2 | hit_1))
-        if len(miss):
-            gone = ids[miss]
-            c = CLASS_OF[gone].astype(np.int64)
-            where = miss * CLASSES + c
-            r = sp[miss] >> np.uint64(CLASS_BITS)
-            begin = r * model.cum[where].astype(np.uint64)
-            r = (r * model.freq[where].astype(np.uint64)) >> CLASS_SIZE_BITS[c].astype(np.uint64)
-            lo[miss] += begin + r * (gone - CLASS_FIRST[c]).astype(np.uint64)
-            sp[miss] = r
+        gone = ids.take(miss)
+        c = CLASS_OF.take(gone)
+        where = model.lane_class.take(miss) + c
+        r = sp.take(miss) >> np.uint64(CLASS_BITS)
+        begin = r * model.cum.take(where)
+        r = (r * model.freq.take(where)) >> CLASS_SIZE_BITS.take(c)
+        lo[miss] += begin + r * (gone - CLASS_FIRST.take(c)).astype(np.uint64)
+        sp[miss] = r
         settled = (lo ^ (lo + sp)) < BOTTOM
         out = np.flatnonzero(settled | (sp < BOTTOM))
         if len(out):
@@ -169,7 +176,7 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
             used[out] += 1
             lo[out], sp[out] = x << WORD, s << WORD
         low[:n], span[:n] = lo, sp
-        model.learn(n, ids, hit_2, hit_1, miss)
+        model.learn(n, ids, hit_2, hit_1, where)
     words[np.arange(lanes), used] = (low >> WORD).astype(np.uint32)
     words[np.arange(lanes), used + 1] = (low & mask).astype(np.uint32)
     out_bytes: list[bytes] = [b""] * lanes
@@ -198,28 +205,28 @@ def _decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         model.predict(n)
         a, b = model.a, model.b
         r = span[:n] >> event
-        value = np.minimum((code[:n] - low[:n]) // r, last_point).astype(np.int64)
+        value = np.minimum((code[:n] - low[:n]) // r, last_point)
         hit_2 = value < a
         ab = a + b
         hit_1 = (value < ab) & ~hit_2
-        begin = np.where(hit_2, 0, np.where(hit_1, a, ab)).astype(np.uint64)
-        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - ab)).astype(np.uint64)
+        begin = np.where(hit_2, 0, np.where(hit_1, a, ab))
+        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - ab))
         lo, sp = low[:n] + r * begin, r * share
         ids = np.where(hit_2, model.p2, model.p1).astype(np.int64)
         miss = np.flatnonzero(value >= ab)
-        if len(miss):
-            s, x = sp[miss], code[miss] - lo[miss]
-            r = s >> np.uint64(CLASS_BITS)
-            point = np.minimum(x // r, last_class_point).astype(np.int64)
-            c = model.point[(miss << CLASS_BITS) + point].astype(np.int64)
-            where = miss * CLASSES + c
-            begin = r * model.cum[where].astype(np.uint64)
-            bits = CLASS_SIZE_BITS[c]
-            r = (r * model.freq[where].astype(np.uint64)) >> bits.astype(np.uint64)
-            place = np.minimum(((x - begin) // r).astype(np.int64), (1 << bits) - 1)
-            ids[miss] = CLASS_FIRST[c] + place
-            lo[miss] += begin + r * place.astype(np.uint64)
-            sp[miss] = r
+        s = sp.take(miss)
+        x = code.take(miss) - lo.take(miss)
+        r = s >> np.uint64(CLASS_BITS)
+        point = np.minimum(x // r, last_class_point).astype(np.int64)
+        c = model.point.take((miss << CLASS_BITS) + point).astype(np.int64)
+        where = model.lane_class.take(miss) + c
+        begin = r * model.cum.take(where)
+        bits = CLASS_SIZE_BITS.take(c)
+        r = (r * model.freq.take(where)) >> bits
+        place = np.minimum((x - begin) // r, (np.uint64(1) << bits) - np.uint64(1))
+        ids[miss] = CLASS_FIRST.take(c) + place.astype(np.int64)
+        lo[miss] += begin + r * place
+        sp[miss] = r
         settled = (lo ^ (lo + sp)) < BOTTOM
         out = np.flatnonzero(settled | (sp < BOTTOM))
         if len(out):
@@ -230,7 +237,7 @@ def _decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             lo[out], sp[out] = x << WORD, s << WORD
         low[:n], span[:n] = lo, sp
         grid[step, :n] = ids
-        model.learn(n, ids, hit_2, hit_1, miss)
+        model.learn(n, ids, hit_2, hit_1, where)
     out_ids: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
     for lane, i in enumerate(order):
         out_ids[i] = grid[: lengths[i], lane].copy()

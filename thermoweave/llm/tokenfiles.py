@@ -18,7 +18,7 @@ from thermoweave.session import new_path
 
 FILE_SCHEMA = (
     "shard long, block long, start long, docs array<long>, ordinals array<long>, "
-    "lengths array<long>, ends array<boolean>, checksum long, payload binary"
+    "lengths array<long>, checksum long, payload binary"
 )
 
 
@@ -35,7 +35,7 @@ def write_tokens(
     The files at ``path`` are Parquet shards; shards follow each other by number, blocks
     within a shard by number. A block holds at most ``coder.BLOCK`` ids, coded from a fresh
     model, their CRC-32, its place in the shard, and which documents its ids belong to
-    (``docs``, ``ordinals`` within the shard, ``lengths``, and whether the document ends there).
+    (``docs``, ``ordinals`` within the shard, ``lengths``).
     A null text is the end id alone; null ids come first; rows that repeat an id follow each other.
     """
 
@@ -50,7 +50,7 @@ def write_tokens(
                     part = min(len(ids) - done, 4 * coder.BLOCK - len(held))
                     held += ids[done : done + part]
                     done += part
-                    parts.append((doc, ordinal, part // 4, done == len(ids)))
+                    parts.append((doc, ordinal, part // 4))
                     if len(held) == 4 * coder.BLOCK:
                         rows.add(start, held, parts)
                         start, held, parts = start + coder.BLOCK, b"", []
@@ -88,12 +88,11 @@ class _Rows:
             pa.array(range(self.sent, self.sent + len(blocks)), pa.int64()),
             pa.array([b[0] for b in blocks], pa.int64()),
             *(pa.array([[p[k] for p in b[2]] for b in blocks], pa.list_(pa.int64())) for k in range(3)),
-            pa.array([[p[3] for p in b[2]] for b in blocks], pa.list_(pa.bool_())),
             pa.array([coder.checksum(b[1]) for b in blocks], pa.int64()),
             pa.array(payloads, pa.binary()),
         ]
         self.sent += len(blocks)
-        names = ["shard", "block", "start", "docs", "ordinals", "lengths", "ends", "checksum", "payload"]
+        names = ["shard", "block", "start", "docs", "ordinals", "lengths", "checksum", "payload"]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
@@ -105,46 +104,33 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     """
 
     def pieces(rows: dict) -> dict:
-        names = ("shard", "ordinal", "doc_id", "start", "length", "crc", "whole", "ids")
+        names = ("shard", "ordinal", "doc_id", "start", "length", "crc", "ids")
         out: dict = {k: [] for k in names}
         sizes = [sum(x) for x in rows["lengths"]]
         for i, ids in enumerate(coder.decode(rows["payload"], sizes)):
             if coder.checksum(ids) != rows["checksum"][i]:
                 raise ValueError(f"shard {rows['shard'][i]}, block {rows['block'][i]} is damaged")
             at, start = 0, rows["start"][i]
-            documents = zip(*(rows[k][i] for k in ("docs", "ordinals", "lengths", "ends")), strict=True)
-            for doc, ordinal, length, ends in documents:
+            documents = zip(*(rows[k][i] for k in ("docs", "ordinals", "lengths")), strict=True)
+            for doc, ordinal, length in documents:
                 own = ids[at : at + length]
-                inner = at > 0 or start == 0 or first_of_document(rows, i)
                 values = (
                     rows["shard"][i], ordinal, doc, start + at, length, coder.checksum(own),
-                    bool(inner and ends), own.astype(np.int32) if with_ids else [],
+                    own.astype(np.int32) if with_ids else [],
                 )
                 for k, v in zip(names, values, strict=True):
                     out[k].append(v)
                 at += length
         return out
 
-    def first_of_document(rows: dict, i: int) -> bool:
-        """Whether block i opens with a document's first id: only if the block before, if it
-        is at hand, closed one; otherwise the piece is joined with its neighbours, which is safe."""
-        before = i - 1
-        return (
-            before >= 0
-            and rows["shard"][before] == rows["shard"][i]
-            and rows["block"][before] + 1 == rows["block"][i]
-            and rows["ends"][before][-1]
-        )
-
     schema = (
-        "shard long, ordinal long, doc_id long, start long, length long, crc long, whole boolean, ids array<int>"
+        "shard long, ordinal long, doc_id long, start long, length long, crc long, ids array<int>"
     )
     blocks = spark.read.parquet(path)
     found = map_batches(blocks, pieces, schema)
     piece = F.struct("start", "length", "crc", "ids")
     joined = (
-        found.where("NOT whole")
-        .groupBy("shard", "ordinal", "doc_id")
+        found.groupBy("shard", "ordinal", "doc_id")
         .agg(F.sort_array(F.collect_list(piece)).alias("p"))
         .select(
             "shard", "doc_id", F.col("p.start").getItem(0).alias("start"),
@@ -160,7 +146,6 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
         }
 
     folded = map_batches(joined, fold, "shard long, doc_id long, start long, length long, crc long, ids array<int>")
-    every = found.where("whole").select("shard", "doc_id", "start", "length", "crc", "ids").unionByName(folded)
     totals = blocks.select("shard", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
@@ -169,7 +154,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     )
     names = ["doc_id", (F.col("start") + F.col("base")).alias("start"), F.col("length").alias("n_tokens"),
              F.col("crc").alias("ids_crc32")]
-    return every.join(bases, "shard").select(*names, *(["ids"] if with_ids else []))
+    return folded.join(bases, "shard").select(*names, *(["ids"] if with_ids else []))
 
 
 def joined_crc(lengths: list[int], crcs: list[int]) -> int:

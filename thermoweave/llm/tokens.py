@@ -5,18 +5,22 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import sys
 from array import array
 
 import regex
 
 # Chunks kept per Python worker. A chunk that finds no room is encoded again when it comes back.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 500_000
 # Parts of a text between two of these places get the same ids alone as within the text: a space
 # with visible characters on at least one side never lies inside a pre-token.
 SAFE_SPACE = regex.compile(r"(?<=\S) | (?=\S)")
 UNSAFE = regex.compile(r"\s \s|\s \Z|\A \s")
-PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xff]*")
+# Characters whose lower case, normal form and class are the same for every library.
+PLAIN = re.compile(r"[\x21-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]*")
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")  # the same on plain characters
 MARK = b"\xff"  # stands for the end of a word; no UTF-8 text has this byte
 
 
@@ -54,15 +58,16 @@ class Encoder:
             pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         else:
             pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        self.pattern = regex.compile(pattern)
+        self.split = PIECES.findall if pattern == WORD_PATTERN else regex.compile(pattern).findall
         self.ranked = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.heads, self.tails = _Cache(self._chunk), _Cache(lambda c: self._chunk(" " + c))
-        self.wide = max(ranks.values()) >= 1 << 16
+        self.pieces = _Cache(self._piece)
+        self.hint = os.path.commonprefix(special)  # "" is in every chunk
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if self.words:
-            return b"".join(map(self.heads.__getitem__, text.split(" ")))
+            return b"".join(map(self.heads.__getitem__, text.replace("\n", " ").split(" ")))
         if UNSAFE.search(text):
             return self._with_runs(text)
         parts = text.split(" ")
@@ -81,17 +86,18 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if self.special.search(chunk):
+        if self.hint in chunk and self.special.search(chunk):
             return self._by_library(chunk)
         if not self.words:
-            ids = self.ranked.encode_ordinary(chunk)
-        elif PLAIN.fullmatch(chunk):
-            ids = []
-            for word in self.pattern.findall(chunk.lower()):
-                ids += self.ranked._encode_single_piece(word.encode() + MARK)
-        else:
-            return self._by_library(chunk)
-        return _bytes(ids)
+            return _bytes(self.ranked.encode_ordinary(chunk))
+        if chunk[:-1].isascii() and chunk[:-1].isalpha() and chunk[-1] in ".,":
+            return self.pieces[chunk[:-1].lower()] + self.pieces[chunk[-1]]
+        if PLAIN.fullmatch(chunk):
+            return b"".join(map(self.pieces.__getitem__, self.split(chunk.lower())))
+        return self._by_library(chunk)
+
+    def _piece(self, piece: str) -> bytes:
+        return _bytes(self.ranked._encode_single_piece(piece.encode() + MARK))
 
     def _by_library(self, chunk: str) -> bytes:
         return _bytes(self.library.encode(chunk, add_special_tokens=False).ids)
