@@ -60,17 +60,18 @@ def dedup_lines(
         lines.join(frequent, ["h1", "h2"], "left_semi")
         .groupBy("d", "t1", "t2")
         .agg(F.collect_set("pos").alias("__dropped"))
+        .withColumnsRenamed({"d": "__d", "t1": "__r1", "t2": "__r2"})
     )
     joined = (
         rows.withColumns({"__t1": row_key[1], "__t2": row_key[2]})
         .join(
             dropped,
-            F.col(doc_id).eqNullSafe(F.col("d"))
-            & (F.col("__t1") == F.col("t1"))
-            & (F.col("__t2") == F.col("t2")),
+            F.col(doc_id).eqNullSafe(F.col("__d"))
+            & (F.col("__t1") == F.col("__r1"))
+            & (F.col("__t2") == F.col("__r2")),
             "left",
         )
-        .drop("d", "t1", "t2", "__t1", "__t2")
+        .drop("__d", "__r1", "__r2", "__t1", "__t2")
     )
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
     kept = F.when(F.col("__dropped").isNull(), F.col("__lines")).otherwise(
