@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermoweave.session import shared_dir
+from thermoweave.session import new_path, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``cut``, for wide rows: a compressed table in the shared folder."""
+    path = new_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``function(batch as dict of Python lists) -> dict of columns``, once per Arrow batch.
 
@@ -63,13 +70,3 @@ def _arrow_schema(schema: str) -> pa.Schema:
 def ascii_lower(col):
     """A-Z lower-cased, every other character left alone."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def put_columns(df: DataFrame, key: str, values: DataFrame, names: list[str]) -> DataFrame:
-    """``df`` with columns ``names`` of ``values`` (one row per key) set, null keys matched too."""
-    right = values.select(F.col(key).alias("__key"), *names)
-    return (
-        df.drop(*[n for n in names if n in df.columns])
-        .join(right, F.col(key).eqNullSafe(F.col("__key")), "left")
-        .drop("__key")
-    )

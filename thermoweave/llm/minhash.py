@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.llm.common import cut, map_batches
+from thermoweave.llm.common import cut, map_batches, written
 from thermoweave.llm.components import components
 
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
 PAIRS_PER_ROW = 4  # pairs a slot for which the exact rest replaces further stars
+HUB_FAMILIES = 4  # hubs that a document meets in a turn after the first
+BLOCK_DOCUMENTS = 128
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SHIFT = np.uint64(29)
 
@@ -134,10 +136,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 [pa.array([p[k] for p in keep], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )
 
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = cut(texts.join(ids, "doc_id", "left_semi"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    hubs = pairs.select(F.col("b").alias("doc_id")).distinct()
+    right = texts.join(hubs, "doc_id", "left_semi").select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
 
 
@@ -157,8 +158,8 @@ def near_duplicates(
        star: a hub, drawn by hash, against every leader of another component. Confirmed pairs
        join components, buckets of one component are done, the others draw a new hub. So a
        large group of near-copies costs a few pairs a document.
-    3. A link may still hide between two leaves. Once stars find nothing more, or once
-       trying all pairs across components of a bucket costs no more than a few turns, these pairs follow.
+    3. A link may still hide between two leaves. Once stars no longer halve the pairs left across
+       components of a bucket, or few are left, these are compared block by block.
 
     At a similarity of 0.85 a pair shares no bucket with a chance of 6e-11 (0.8: 5e-8).
     Rows without an id are compared with nothing (component null); texts without words have
@@ -181,10 +182,13 @@ def near_duplicates(
     shared = slots.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     open_slots = cut(slots.join(shared, "bucket").withColumn("component", F.col("id")))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = written(texts.join(open_slots.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     close = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
     tried = links = member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).limit(0)
+    pairs_before = None
     for turn in itertools.count():
-        hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "component"))
+        family = F.pmod("bucket", F.lit(HUB_FAMILIES if turn else 1))
+        hub = F.min(F.struct(F.xxhash64("id", family, F.lit(turn)).alias("order"), "id", "n", "component"))
         hubs = open_slots.groupBy("bucket").agg(hub.alias("hub")).select(
             "bucket", F.col("hub.id").alias("b"), F.col("hub.n").alias("m"), F.col("hub.component").alias("c")
         )
@@ -195,14 +199,11 @@ def near_duplicates(
         if not new.isEmpty():
             open_slots = cut(_mixed(open_slots, components(links)))
         rows_left, pairs_left = _work_left(open_slots)
-        if new.isEmpty() or pairs_left <= PAIRS_PER_ROW * rows_left:
+        slower = pairs_before is not None and 2 * pairs_left > pairs_before
+        if new.isEmpty() or slower or pairs_left <= PAIRS_PER_ROW * rows_left:
             break
-    other = open_slots.select(
-        "bucket", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("c")
-    )
-    rest = open_slots.withColumnRenamed("id", "a").join(other, "bucket").where("component > c").where(close)
-    rest = cut(rest.select("a", "b").distinct().join(_both_ways(tried), ["a", "b"], "left_anti"))
-    second = confirmed(rest, texts, words, percent)
+        pairs_before = pairs_left
+    second = _exact_rest(open_slots, texts, words, percent)
     merged = components(
         links.union(second).union(member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
     )
@@ -238,8 +239,76 @@ def _work_left(slots: DataFrame) -> tuple[int, int]:
     ).first()
 
 
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.union(pairs.select("b", "a"))
+def _exact_rest(slots: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket: at least one per pair of components that has any.
+
+    Leaders that buckets connect form a group. A group is cut into blocks, large components into
+    blocks of their own, and pairs of blocks are compared, unless both lie in one component. A pair of
+    blocks is one row, whatever it holds, and answers with one link per pair of components.
+    """
+    hubs = slots.groupBy("bucket").agg(F.min("id").alias("b"))
+    groups = components(slots.withColumnRenamed("id", "a").join(hubs, "bucket").select("a", "b"))
+    placed = slots.select("id", F.col("component").alias("c")).distinct().join(groups, "id")
+    sizes = placed.groupBy("component", "c").agg(F.count("*").alias("k"))
+    placed = placed.join(sizes, ["component", "c"]).withColumn(
+        "own", F.when(F.col("k") >= BLOCK_DOCUMENTS, F.col("c"))
+    )
+    room = placed.groupBy("component", "own").agg(F.count("*").alias("size"))
+    placed = placed.join(
+        room.withColumnsRenamed({"component": "g", "own": "o"}),
+        (F.col("component") == F.col("g")) & F.col("own").eqNullSafe(F.col("o")),
+    )
+    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK_DOCUMENTS))
+    placed = placed.select("id", "c", "g", "o", chunk.alias("chunk"))
+
+    def as_set(rows: dict) -> dict:
+        return {"id": rows["id"], "set": [shingle_set(t, words).tobytes() for t in rows["text"]]}
+
+    wanted = texts.join(placed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    sets = map_batches(wanted.select(F.col("doc_id").alias("id"), "text"), as_set, "id long, set binary")
+    blocks = placed.join(sets.dropDuplicates(["id"]), "id").groupBy("g", "o", "chunk").agg(
+        *[F.collect_list(F.struct("id", "c", "set")).alias("rows")]
+    )
+    key = F.concat_ws(":", F.coalesce(F.col("o").cast("string"), F.lit("-")), "chunk")
+    blocks = written(
+        blocks.select(
+            "g", "o", key.alias("key"), F.col("rows.id").alias("ids"), F.col("rows.c").alias("cs"),
+            F.col("rows.set").alias("sets"),
+        )
+    )
+    names = {"o": "o2", "key": "key2", "ids": "ids2", "cs": "cs2", "sets": "sets2"}
+    pairs = blocks.join(blocks.withColumnsRenamed(names), "g").where("key <= key2").where(
+        "o IS NULL OR o2 IS NULL OR o <> o2"
+    )
+
+    def compare(rows: dict) -> dict:
+        out: list[tuple[int, int]] = []
+        columns = ("ids", "cs", "sets", "ids2", "cs2", "sets2")
+        for left_ids, left_cs, left, right_ids, right_cs, right in zip(*(rows[k] for k in columns), strict=True):
+            out += block_links(left_ids, left_cs, left, right_ids, right_cs, right, percent)
+        return {"a": [p[0] for p in out], "b": [p[1] for p in out]}
+
+    return map_batches(pairs.select("ids", "cs", "sets", "ids2", "cs2", "sets2"), compare, "a long, b long")
+
+
+def block_links(ids: list, cs: list, left: list, ids2: list, cs2: list, right: list, percent: int) -> list:
+    """One link (id, id) for each two components that have one between these blocks."""
+    sets = [np.frombuffer(x, np.uint64) for x in left]
+    sizes = np.array([len(x) for x in sets])
+    hashes = np.concatenate(sets)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    components_, found = np.array(cs), {}
+    for id2, c2, packed in zip(ids2, cs2, right, strict=True):
+        own = np.frombuffer(packed, np.uint64)
+        first = np.searchsorted(hashes, own, "left")
+        count = np.searchsorted(hashes, own, "right") - first
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        shared = np.bincount(owner[at], minlength=len(sets))
+        hit = (100 * shared >= percent * (sizes + len(own) - shared)) & (shared > 0) & (components_ != c2)
+        for i in np.flatnonzero(hit):
+            found.setdefault((min(cs[i], c2), max(cs[i], c2)), (ids[i], id2))
+    return list(found.values())
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
