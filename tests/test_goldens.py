@@ -4,13 +4,12 @@ import pytest
 from conftest import BASE, SAMPLE
 from pyspark.sql import functions as F
 
-from thermoweave.functions.registry import mean_udaf, register_hash, register_split, split_udtf
+from thermoweave.functions.registry import register_hash, register_split, split_udtf
 from thermoweave.functions.text import split_lines, split_words, string_hash, wrap_int
 from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, windows
 from thermoweave.session import new_path
 from thermoweave.sinks import files, payloads
 from thermoweave.sources import log, readings
-from thermoweave.sources.generators import feed_messages
 
 S1 = "sensor_1"
 
@@ -79,13 +78,6 @@ def test_log_table_and_decoding(spark):
     assert log.log_options("h:1", "t")["startingOffsets"] == "latest"
 
 
-def test_feed_concatenates(spark):
-    ticks = spark.createDataFrame([(0, 5)], "tick bigint, timestamp bigint")
-    got = dict(feed_messages(ticks).collect())
-    assert len(got) == 11
-    assert got["key-0"] == "sensor_0,5,030" and got["key-10"] == "sensor_10,5,1030"
-
-
 # ---------------------------------------------------------------- rows and routing
 
 
@@ -261,10 +253,9 @@ def test_min_by_ties_keep_the_earliest(make):
     assert aggregate.min_by_final(df).first()["seq"] == 1
 
 
-def test_mean_udaf(sample):
-    got = {r.id: round(r.avg_temp, 6) for r in aggregate.mean_by_udaf(sample, block_rows=2).collect()}
+def test_mean(sample):
+    got = {r.id: round(r.avg_temp, 6) for r in aggregate.mean_temperature(sample).collect()}
     assert got == {S1: 36.866667, "sensor_6": 15.4, "sensor_7": 6.7, "sensor_10": 38.1}
-    assert mean_udaf() is not None
 
 
 # ---------------------------------------------------------------- windows
@@ -289,7 +280,7 @@ def test_slide(sample):
     assert rows(windows.slide_count_keyed(sample), "id", start, "cnt") == SLIDES
     dropped = sorted((s, n) for _, s, n in SLIDES)
     assert rows(windows.slide_count(sample), start, "cnt") == dropped
-    assert rows(windows.window_sizes(sample, chunk_rows=1), start, "cnt") == dropped
+    assert rows(windows.window_sizes(sample), start, "cnt") == dropped
     reduced = {(r[0], r[1]): (r[2] - BASE, r[3]) for r in windows.slide_reduce(sample).select("id", start, "max_timestamp", "min_temperature").collect()}
     assert reduced[(S1, 190)] == (199, 35.8) and reduced[(S1, 110)] == (122, 35.0)
     assert len(reduced) == len(SLIDES)

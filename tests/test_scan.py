@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from thermoweave.operators import alerts, eventtime, rolling, scan, windows
-from thermoweave.sources.generators import walk_readings
 
 ROWS = 400
 
@@ -177,12 +176,3 @@ def test_rise_alert_equals_the_state_machine(spark, block):
     got = alerts.rise_alert(df, "10 seconds", block).select("id", F.unix_seconds("alert_ts"))
     want = rise_by_hand([(s, seq, i, t) for seq, i, s, t in rows], 10)
     assert sorted(map(tuple, got.collect())) == want
-
-
-def test_walk_is_the_same_for_any_blocks(spark):
-    ticks = spark.range(50).select(F.col("id").alias("tick"), (F.col("id") * 1000).alias("timestamp"))
-    whole = walk_readings(ticks)
-    assert whole.count() == 500
-    same(walk_readings(ticks, block_rows=4), whole)
-    stats = whole.groupBy("tick").agg(F.countDistinct("id").alias("n")).agg(F.min("n")).first()
-    assert stats[0] == 10

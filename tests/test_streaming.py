@@ -14,7 +14,6 @@ from thermoweave.operators import alerts, rolling, windows
 from thermoweave.operators.project import rename_project
 from thermoweave.sinks import payloads
 from thermoweave.sinks.upsert import merge_statement, upsert_batches, upsert_table
-from thermoweave.sources.generators import SensorWalkSource
 from thermoweave.sources.log import decode_log, log_table
 from thermoweave.streaming import batches, processors, sources, starters
 from thermoweave.streaming import eventtime as st
@@ -44,7 +43,7 @@ def chunks(rows, n):
 
 
 def readings(spark, folder):
-    return sources.stream_readings(spark, folder, "s", files_per_trigger=1, arrival=True)
+    return sources.stream_readings(spark, folder, "s", arrival=True)
 
 
 _names = iter(range(10_000))
@@ -289,54 +288,6 @@ def test_message_stream(spark):
     assert drain(filtered) == [("sensor_1", 35.8)]
 
 
-def test_walk_source(spark):
-    spark.dataSource.register(SensorWalkSource)
-    seen = []
-    query = starters.to_batches(
-        spark.readStream.format("sensor_walk").option("tickMillis", "100").load(),
-        lambda batch, _: seen.append(batch.collect()),
-        tempfile.mkdtemp(),
-        every="200 milliseconds",
-    )
-    try:
-        deadline = time.time() + 60
-        while len([s for s in seen if s]) < 3 and time.time() < deadline:
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    ticks = [s for s in seen if s][:3]
-    for tick in ticks:
-        assert {r.id for r in tick} == {f"sensor_{i}" for i in range(1, 11)}
-        assert len({r.timestamp for r in tick}) == 1
-    reader = SensorWalkSource({"seed": "1"}).simpleStreamReader(None)
-    begin = reader.initialOffset()
-    later = reader._next(reader._next(begin))
-    again = json.loads(json.dumps(later))
-    assert list(reader.readBetweenOffsets(begin, later)) == list(reader.readBetweenOffsets(begin, again))
-    assert len(list(reader.readBetweenOffsets(begin, later))) == 20
-    one, two = ({r.id: r.temperature for r in tick} for tick in ticks[:2])
-    assert all(0 < abs(one[i] - two[i]) < 6 for i in one)
-
-
-def test_feed_stream(spark):
-    seen = []
-    query = starters.to_batches(
-        sources.feed_stream(spark, every_seconds=1),
-        lambda batch, _: seen.extend(tuple(r) for r in batch.collect()),
-        tempfile.mkdtemp(),
-        every="500 milliseconds",
-    )
-    try:
-        deadline = time.time() + 60
-        while len(seen) < 22 and time.time() < deadline:
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    assert len(seen) >= 22 and len(seen) % 11 == 0
-    assert {key for key, _ in seen} == {f"key-{i}" for i in range(11)}
-    assert all(value.endswith("30") and value.startswith("sensor_") for _, value in seen)
-
-
 def test_file_sinks(spark):
     folder = write_files(chunks(SAMPLE, 3))
     text, csv = tempfile.mkdtemp(prefix="text-"), tempfile.mkdtemp(prefix="csv-")

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pandas as pd
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from thermoweave.functions.text import _hash_sql
 
@@ -20,13 +16,16 @@ def register_hash(spark: SparkSession, name: str = "hashcode", factor: int = 10)
 
 
 def register_split(spark: SparkSession, name: str = "split_words", sep: str = "_") -> None:
-    """A SQL-bodied table function (word, length) with a fixed one-character separator."""
+    """A SQL-bodied table function (word, length) with a fixed one-character separator.
+
+    Lengths are those of JVM strings, in UTF-16 units.
+    """
     if len(sep) != 1 or sep in "'\\^[]":
         raise ValueError("separator must be one character and none of ' \\\\ ^ [ ]")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) "
         "RETURNS TABLE (word STRING, length INT) RETURN "
-        "SELECT w, CAST(length(w) AS INT) FROM (SELECT explode(CASE "
+        "SELECT w, CAST(octet_length(encode(w, 'UTF-16BE')) div 2 AS INT) FROM (SELECT explode(CASE "
         "WHEN s = '' THEN array('') "
         f"WHEN rtrim('{sep}', s) = '' THEN CAST(array() AS ARRAY<STRING>) "
         f"ELSE split(rtrim('{sep}', s), '[{sep}]', -1) END) AS w)"
@@ -47,21 +46,6 @@ def split_udtf(sep: str):
             if parts == [""] and s != "":
                 return
             for part in parts:
-                yield part, len(part)
+                yield part, len(part.encode("utf-16-le")) // 2
 
     return udtf(SplitOn, returnType="word string, length int")
-
-
-def mean_udaf() -> Callable[..., Column]:
-    """A user-defined aggregate as a grouped Pandas function: the mean of a partial table.
-
-    Give it pre-aggregated (sum, count) columns, not raw rows: a grouped Python aggregate
-    receives its whole group at once.
-    """
-
-    @F.pandas_udf("double")
-    def mean(totals: pd.Series, counts: pd.Series) -> float:
-        n = counts.sum()
-        return float(totals.sum() / n) if n else None
-
-    return mean

@@ -7,9 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermoweave.functions.registry import mean_udaf
 from thermoweave.functions.text import split_lines, split_words
-from thermoweave.operators.scan import BLOCK, BLOCK_ROWS, running, seq_block
+from thermoweave.operators.scan import BLOCK, running, seq_block
 
 
 def group_count(readings: DataFrame) -> DataFrame:
@@ -30,12 +29,9 @@ def min_by_final(readings: DataFrame) -> DataFrame:
     )
 
 
-def mean_by_udaf(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Average temperature per id through a user aggregate, fed with partial sums."""
-    partial = readings.groupBy("id", seq_block(rows=block_rows).alias(BLOCK)).agg(
-        F.sum("temperature").alias("total"), F.count("temperature").alias("n")
-    )
-    return partial.groupBy("id").agg(mean_udaf()("total", "n").alias("avg_temp"))
+def mean_temperature(readings: DataFrame) -> DataFrame:
+    """Average temperature per id."""
+    return readings.groupBy("id").agg(F.avg("temperature").alias("avg_temp"))
 
 
 def text_lines(df: DataFrame, column: str = "text") -> DataFrame:

@@ -37,8 +37,10 @@ def rise_alert(readings: DataFrame, interval: str = "10 seconds", block_rows: in
     blocked = add_time_block(readings.select("seq", "id", "ts", "temperature"), rows=block_rows)
     order = ["ts", "seq"]
     compared = previous(blocked, "temperature", "last", ["id"], order, 0.0, keep_block=True)
-    drop = (F.col("temperature") < F.col("last")).cast("int")
-    moves = compared.withColumn("drop", drop).filter(F.col("temperature") != F.col("last"))
+    # Comparisons with NaN are false: such a reading neither starts nor stops a timer, it only is the last.
+    known = ~F.isnan("temperature") & ~F.isnan("last")
+    drop = (known & (F.col("temperature") < F.col("last"))).cast("int")
+    moves = compared.withColumn("drop", drop).filter(known & (F.col("temperature") != F.col("last")))
     staged = running(moves, {"drops": ("sum", F.col("drop"))}, ["id"], order)
     # A drop closes the stretch before it.
     at = F.unix_micros("ts")
@@ -75,8 +77,10 @@ BANDS = (10.0, 30.0)
 
 
 def band(temperature: Column) -> Column:
+    """A NaN or null temperature is above no threshold."""
     low, high = BANDS
-    return F.when(temperature > high, "high").when(temperature > low, "mid").otherwise("low")
+    above = lambda bound: (temperature > bound) & ~F.isnan(temperature)
+    return F.when(above(high), "high").when(above(low), "mid").otherwise("low")
 
 
 def sensor_profile(readings: DataFrame, latest: int = 3) -> DataFrame:

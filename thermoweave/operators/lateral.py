@@ -9,9 +9,11 @@ from thermoweave.functions.text import split_words
 
 
 def lateral_split(df: DataFrame, column: str = "id", sep: str = "_") -> DataFrame:
-    """Each row times the parts of ``column``: (word, length). No part, no row."""
+    """Each row times the parts of ``column``: (word, length in UTF-16 units). No part, no row."""
     parts = split_words(F.col(column), sep)
-    return df.select("*", F.explode(parts).alias("word")).withColumn("length", F.length("word"))
+    return df.select("*", F.explode(parts).alias("word")).withColumn(
+        "length", F.expr("CAST(octet_length(encode(word, 'UTF-16BE')) div 2 AS INT)")
+    )
 
 
 def lateral_split_sql(spark: SparkSession, view: str, function: str = "split_words") -> DataFrame:

@@ -20,18 +20,15 @@ distribution of the event times and splits single instants that hold many rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 BLOCK_ROWS = 1 << 20
-MAX_TIME_BINS = 10_000
-EDGE_ROWS = 2_000_000
-_PARTS = 1 << 44  # bin number and part of a bin share one BIGINT
+_PARTS = 1 << 44  # microsecond and part of it share one BIGINT
+_LEAST = -(1 << 62)  # where rows without a time go
 BLOCK = "_block"
 HALO = "is_halo"
 
@@ -56,38 +53,26 @@ def add_time_block(
 ) -> DataFrame:
     """Add a block column for rows ordered by (ts, seq), about ``rows`` rows per block.
 
-    The bin edges are quantiles of ``ts``, at most ``MAX_TIME_BINS`` numbers, estimated from
-    about ``EDGE_ROWS`` rows: they decide how even the blocks are, not what is computed. An
-    instant that fills whole bins is cut further by ``seq``, so equal timestamps cannot pile
-    up in one block either.
+    A distributed histogram counts the rows of every millisecond; the rows before a millisecond,
+    divided by ``rows``, number its block. A millisecond that holds more than ``rows`` is
+    cut further by its microseconds and by ``seq``, so equal timestamps cannot pile up in
+    one block either. The plan is the same at every size, and building it starts no job.
     """
-    total = df.count()
-    bins = min(MAX_TIME_BINS, math.ceil(total / rows))
-    if bins <= 1:
-        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
-
-    micros = F.unix_micros(F.col(ts)).cast("double")
-    shares = [i / bins for i in range(1, bins)]
-    seen = df.select(ts).sample(min(1.0, EDGE_ROWS / total), seed=1)
-    cuts = seen.agg(F.percentile_approx(micros, shares, 10 * bins).alias("cuts")).first()["cuts"]
-    edges = sorted(set(cuts or []))
-    if not edges:
-        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
-    crowded = sorted(c for c in edges if cuts.count(c) > 1)
-    binned = Bucketizer(
-        splits=[-math.inf, *edges, math.inf],
-        inputCol="_micros",
-        outputCol="_bin",
-        handleInvalid="error",
-    ).transform(df.withColumn("_micros", F.coalesce(micros, F.lit(-math.inf))))
-    # A crowded instant is the lower edge of its bin: its rows come first in the bin.
-    part = F.lit(_PARTS - 1)
-    if crowded:
-        cut = F.least(seq_block(seq, rows), F.lit(_PARTS - 2))
-        part = F.when(F.col("_micros").isin(crowded), cut).otherwise(part)
-    return binned.withColumn(BLOCK, F.col("_bin").cast("bigint") * _PARTS + part).drop(
-        "_micros", "_bin"
+    micros = F.coalesce(F.unix_micros(ts), F.lit(_LEAST))
+    placed = df.withColumn("_ms", F.floor(micros / 1000))
+    counts = placed.groupBy("_ms").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn(BLOCK, F.expr(f"_ms div {BLOCK_ROWS}L"))
+    before = running(counts, {"_before": ("sum", F.col("_n"))}, (), ["_ms"], before=True)
+    crowded = F.col("_n") > rows
+    inside = F.when(crowded, F.pmod(micros, F.lit(1000)) * _PARTS + seq_block(seq, rows)).otherwise(0)
+    number = F.expr(f"coalesce(_before, 0L) div {rows}L")
+    # Milliseconds that share a number with a crowded one come before it: after it the number grows.
+    block = F.struct(
+        number.alias("rows_before"),
+        F.when(crowded, F.col("_ms")).otherwise(F.lit(_LEAST)).alias("ms"),
+        inside.alias("inside"),
     )
+    return placed.join(before, "_ms").withColumn(BLOCK, block).drop("_ms", "_n", "_before")
 
 
 def _by(keys: Sequence[str]) -> list:

@@ -8,7 +8,7 @@ not readings, and a hot id is combined on the map side.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -153,61 +153,51 @@ def slide_reduce(readings: DataFrame, size: str = "15 seconds", slide: str = "5
 
 def slide_apply(
     readings: DataFrame,
-    chunk: Callable[[str, int, pa.Table], pa.Table],
-    chunk_schema: str,
-    merge: list[Column],
+    function: Callable[[str, int, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
     size: str = "15 seconds",
     slide: str = "5 seconds",
-    chunk_rows: int = 100_000,
 ) -> DataFrame:
-    """A user function over the elements of each (id, sliding window).
+    """A user function over all elements of each (id, sliding window).
 
-    The elements of one window may be too many for one task, so ``chunk`` gets at most
-    ``chunk_rows`` of them at a time (cut by arrival number, in arrival order) and returns
-    rows of ``chunk_schema``; the ``merge`` aggregates join the chunks of a window.
-    Result: (id, window_start_ms, *merge).
+    ``function(id, window_start_ms, batches)`` gets the whole window as Arrow batches that pass
+    by one at a time, in no given order, and yields batches of ``schema``; nothing is gathered
+    for it. What can be merged from parts is cheaper through ``sliding``, which copies panes.
+    Result: (id, window_start_ms, *schema).
     """
     width, step = micros(size), micros(slide)
-    group = ["id", "_start", BLOCK]
+    group = ["id", "_start"]
     placed = readings.select(
-        "*",
-        F.explode(_starts(F.unix_micros("ts"), width, step)).alias("_start"),
-        seq_block(rows=chunk_rows).alias(BLOCK),
+        "*", F.explode(_starts(F.unix_micros("ts"), width, step)).alias("_start")
     )
-    def per_chunk(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+
+    def whole_window(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         sensor, start_ms = key[0].as_py(), key[1].as_py() // 1000
-        out = chunk(sensor, start_ms, rows.drop_columns(group[1:]).sort_by("seq"))
-        n = out.num_rows
-        return out.add_column(0, "window_start_ms", pa.array([start_ms] * n, pa.int64())).add_column(
-            0, "id", pa.array([sensor] * n, pa.string())
-        )
+        for out in function(sensor, start_ms, (b.drop_columns(["_start"]) for b in batches)):
+            n = out.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sensor] * n, pa.string()), pa.array([start_ms] * n, pa.int64()), *out.columns],
+                names=["id", "window_start_ms", *out.schema.names],
+            )
 
     return (
         placed.repartition(partition_count(placed), *group)
         .groupBy(*group)
-        .applyInArrow(per_chunk, f"id string, window_start_ms bigint, {chunk_schema}")
-        .groupBy("id", "window_start_ms")
-        .agg(*merge)
+        .applyInArrow(whole_window, f"id string, window_start_ms bigint, {schema}")
     )
 
 
-def window_sizes(
-    readings: DataFrame, size: str = "15 seconds", slide: str = "5 seconds", chunk_rows: int = 100_000
-) -> DataFrame:
+def window_sizes(readings: DataFrame, size: str = "15 seconds", slide: str = "5 seconds") -> DataFrame:
     """The element count through ``slide_apply``; the id is left out as in ``slide_count``."""
 
-    def count_elements(_id: str, _start_ms: int, elements: pa.Table) -> pa.Table:
-        return pa.table({"part": [elements.num_rows]})
+    def count_elements(
+        _id: str, _start_ms: int, elements: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"cnt": pa.array([sum(b.num_rows for b in elements)], pa.int64())})
 
-    return slide_apply(
-        readings.select("seq", "id", "ts"),
-        count_elements,
-        "part bigint",
-        [F.sum("part").alias("cnt")],
-        size,
-        slide,
-        chunk_rows,
-    ).drop("id")
+    return slide_apply(readings.select("id", "ts"), count_elements, "cnt bigint", size, slide).drop("id")
 
 
 def session_count(readings: DataFrame, gap: str = "1 minute") -> DataFrame:

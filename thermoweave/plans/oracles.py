@@ -69,18 +69,6 @@ _HASH = (
 )
 
 
-def _gauss(*parts: str) -> str:
-    text = " || ':' || ".join(["'42'", *[f"CAST({p} AS VARCHAR)" for p in parts]])
-
-    def uniform(start: int) -> str:
-        return (
-            f"((CAST('0x' || substr(md5({text}), {start}, 8) AS BIGINT) + 0.5::DOUBLE)"
-            " / 4294967296.0::DOUBLE)"
-        )
-
-    return f"sqrt(-2.0::DOUBLE * ln({uniform(1)})) * cos(2.0::DOUBLE * pi() * {uniform(9)})"
-
-
 _JUMP_LAST = 'lag(temperature) OVER (PARTITION BY id ORDER BY seq)'
 _JUMP_ZERO = 'lag(temperature, 1, 0.0) OVER (PARTITION BY id ORDER BY seq)'
 
@@ -90,25 +78,6 @@ def oracles() -> dict[str, str]:
     out = {
         "parse_readings": _r('SELECT seq, id, "timestamp", temperature FROM r'),
         "src_csv_table": _r('SELECT id, "timestamp", temperature FROM r'),
-        "gen_readings": _more(
-            f"""
-s AS (
-  SELECT n, 'sensor_' || CAST(n AS VARCHAR) AS id, seq AS tick, "timestamp",
-         CAST(round(({_gauss('n', 'seq')}) * 1000000) AS BIGINT) AS step,
-         CAST(round((60.0::DOUBLE + 20.0::DOUBLE * {_gauss('n', "'base'")}) * 1000000) AS BIGINT) AS base
-  FROM r, range(1, 11) AS sensors(n)
-)""",
-            """
-SELECT id, tick, "timestamp",
-       CAST(base + sum(step) OVER (PARTITION BY n ORDER BY tick ROWS UNBOUNDED PRECEDING) AS BIGINT)
-         / 1000000.0::DOUBLE AS temperature
-FROM s""",
-        ),
-        "gen_feed": _r(
-            """
-SELECT 'key-' || n AS key, 'sensor_' || n || ',' || "timestamp" || ',' || n || '30' AS value
-FROM r, range(0, 11) AS sensors(n)"""
-        ),
         "sink_text_roundtrip": _r(
             "SELECT '(' || id || ',' || count(*) || ')' AS value FROM r GROUP BY id"
         ),
@@ -154,7 +123,7 @@ UNION ALL SELECT id, NULL, 'normal' FROM r WHERE NOT {high}"""
         "side_low": _r(f'SELECT id, temperature, "timestamp" FROM r WHERE NOT {high}'),
         "lateral_split": _r(
             f"""
-SELECT seq, id, ts, word, CAST(length(word) AS INTEGER) AS length
+SELECT seq, id, ts, word, CAST(length(word) + length(regexp_replace(word, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) AS INTEGER) AS length
 FROM (SELECT seq, id, ts, unnest({_split('id', '_')}) AS word FROM r)"""
         ),
         "udf_hash": _r(

@@ -15,10 +15,9 @@ from thermoweave.functions.registry import register_hash, register_split
 from thermoweave.functions.text import string_hash
 from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, windows
 from thermoweave.operators.scan import BLOCK_ROWS
-from thermoweave.plans.tables import plain_times, readings, spread, table
+from thermoweave.plans.tables import plain_times, readings, table
 from thermoweave.session import new_path
 from thermoweave.sinks import files, payloads
-from thermoweave.sources.generators import feed_messages, walk_readings
 from thermoweave.sources.readings import (
     ARRIVAL_SPREAD,
     parse_readings,
@@ -68,7 +67,7 @@ def _in_sql(operator: Callable[..., DataFrame], view: str, prepare=None, *args)
 def _on_text(operator: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-        return operator(spread(docs, "doc_id"))
+        return operator(docs)
 
     return query
 
@@ -102,18 +101,6 @@ def _text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _ticks(source: DataFrame) -> DataFrame:
-    return spread(source.select(F.col("seq").alias("tick"), "timestamp"), "tick")
-
-
-def _walk(source: DataFrame) -> DataFrame:
-    return walk_readings(_ticks(source))
-
-
-def _feed(source: DataFrame) -> DataFrame:
-    return feed_messages(_ticks(source))
-
-
 def _tags(source: DataFrame) -> DataFrame:
     return route.tag_readings(source).select("seq", "id", "temperature", "tag")
 
@@ -196,8 +183,6 @@ def registered() -> dict[str, Query]:
         # sources
         "parse_readings": _on_readings(_parse),
         "src_csv_table": _csv_table,
-        "gen_readings": _on_readings(_walk),
-        "gen_feed": _on_readings(_feed),
         # sinks
         "sink_text_roundtrip": _text_roundtrip,
         "sink_csv_roundtrip": _csv_roundtrip,
@@ -237,7 +222,7 @@ def registered() -> dict[str, Query]:
         "rolling_min_by": _on_readings(rolling.rolling_min_by),
         "min_by_final": _on_readings(aggregate.min_by_final),
         "changelog_count": _on_readings(rolling.changelog_count),
-        "udaf_avg_temp": _on_readings(_rounded(aggregate.mean_by_udaf, "avg_temp")),
+        "udaf_avg_temp": _on_readings(_rounded(aggregate.mean_temperature, "avg_temp")),
         # windows
         "tumble_count": _on_readings(windows.tumble_count, TUMBLE),
         "tumble_count_sql": _in_sql(windows.tumble_count_sql, "tumble_input", None, TUMBLE),

@@ -18,15 +18,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_readings(table(spark, sf_dir, "events"))
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A table scan with fewer splits than cores, repartitioned; larger scans stay as they are.
-
-    For work that multiplies rows: one small file would keep all of it in one task.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
 def plain_times(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns as zone-less ones, the type the tables themselves use."""
     zoned = [name for name, kind in df.dtypes if kind == "timestamp"]

@@ -1 +1 @@
-"""Readings from tables, text, message logs and generators."""
+"""Readings from tables, text and message logs."""

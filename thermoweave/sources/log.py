@@ -23,14 +23,23 @@ def log_options(
 
 
 def read_log(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """(key, value) text rows of the log as a stream."""
+    """(key, value, partition, offset) rows of the log as a stream, key and value as text."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return raw.select(
+        F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset"
+    )
 
 
 def decode_log(log: DataFrame, unit: str = "ms") -> DataFrame:
-    """Typed readings plus ``ts`` from a log whose value is ``id,timestamp,temperature``."""
-    typed = parse_readings(log.select(F.col("value").cast("string").alias("value")))
+    """Typed readings plus ``ts`` from a log whose value is ``id,timestamp,temperature``.
+
+    Where the log has ``partition`` and ``offset`` they stay, and ``seq`` is the arrival number
+    that order-dependent work needs: an id's readings are ordered when they share a partition.
+    """
+    place = [c for c in ("partition", "offset") if c in log.columns]
+    typed = parse_readings(log.select(F.col("value").cast("string").alias("value"), *place))
+    if len(place) == 2:
+        typed = typed.withColumn("seq", F.expr("shiftleft(CAST(partition AS BIGINT), 48) + offset"))
     return typed.withColumn("ts", event_time(F.col("timestamp"), unit))
 
 

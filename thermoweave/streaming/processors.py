@@ -284,6 +284,10 @@ class RiseAlert(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Frames:
         last, timer = self.state.get() if self.state.exists() else (0.0, 0)
         now = timerValues.getCurrentProcessingTimeInMs()
+        if timer and timer <= now:  # due before these rows, which Spark hands over first
+            self.handle.deleteTimer(timer)
+            yield self._alert(key, timer)
+            timer = 0
         for temp in _arrived(rows)["temperature"]:
             if temp > last and timer == 0:
                 timer = now + self.wait_ms
@@ -294,17 +298,19 @@ class RiseAlert(StatefulProcessor):
                 timer = 0
             last = float(temp)
         self.state.update((last, timer))
-        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Frames:
         last, _ = self.state.get()
         self.state.update((last, 0))
-        yield pd.DataFrame(
-            {"id": [key[0]], "alert_ms": [expiredTimerInfo.getExpiryTimeInMs()], "message": [self.message]}
-        )
+        yield self._alert(key, expiredTimerInfo.getExpiryTimeInMs())
+
+    def _alert(self, key, at: int) -> pd.DataFrame:
+        return pd.DataFrame({"id": [key[0]], "alert_ms": [at], "message": [self.message]})
 
 
 def rise_alert(stream: DataFrame, interval: str = "10 seconds") -> DataFrame:
+    """(id, alert_ms, message). Start it with an interval: processing-time timers never let a run of
+    everything available end."""
     return _run(
         stream.select("seq", "id", "temperature"),
         RiseAlert(micros(interval) // 1000, rise_message(interval)),

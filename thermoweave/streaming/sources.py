@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from thermoweave.sources.generators import feed_messages
 from thermoweave.sources.readings import event_time, parse_readings
 
-# A micro-batch takes at most this many files, so its size is bounded.
+# Files of a micro-batch whose order does not matter.
 FILES_PER_TRIGGER = 64
 LOG_SCHEMA = "key string, value string"
 
@@ -26,7 +25,9 @@ def stream_lines(
 
 
 def with_arrival(stream: DataFrame) -> DataFrame:
-    """Add ``seq``: the arrival number inside the micro-batch, in file and line order.
+    """Add ``seq``: the arrival number inside a micro-batch of one file, in line order.
+
+    The numbers start again in every micro-batch.
 
     Streams have no built-in row number, so Arrow batches are numbered as they pass: task
     number in the high bits, position in the task in the low ones. A task that runs again
@@ -47,11 +48,18 @@ def stream_readings(
     spark: SparkSession,
     path: str,
     unit: str = "s",
-    files_per_trigger: int = FILES_PER_TRIGGER,
+    files_per_trigger: int | None = None,
     arrival: bool = False,
 ) -> DataFrame:
-    """Typed readings with ``ts``; with ``arrival`` also ``seq``, for order-dependent work."""
-    typed = parse_readings(stream_lines(spark, path, files_per_trigger))
+    """Typed readings with ``ts``; with ``arrival`` also ``seq``, for order-dependent work.
+
+    Several files of one micro-batch are dealt to tasks by size, not by age. So with
+    ``arrival`` a micro-batch takes one file, the oldest that is left; asking for more is refused.
+    """
+    if arrival and files_per_trigger not in (None, 1):
+        raise ValueError("arrival order needs one file per micro-batch")
+    files = files_per_trigger or (1 if arrival else FILES_PER_TRIGGER)
+    typed = parse_readings(stream_lines(spark, path, files))
     numbered = with_arrival(typed) if arrival else typed
     return numbered.withColumn("ts", event_time(F.col("timestamp"), unit))
 
@@ -62,10 +70,3 @@ def stream_messages(
     """(key, value) rows from JSON files: the shape of a message log without the log."""
     reader = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
-
-
-def feed_stream(spark: SparkSession, every_seconds: int = 3) -> DataFrame:
-    """(key, value) messages of the eleven feed sensors at every ``every_seconds``, endless."""
-    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    ticks = clock.filter(F.col("value") % every_seconds == 0)
-    return feed_messages(ticks.select(F.unix_millis("timestamp").alias("timestamp")))
