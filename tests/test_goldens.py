@@ -438,3 +438,58 @@ def test_files(spark, sample):
     csv = new_path(spark, "csv")
     files.write_csv(counts, csv)
     assert rows(spark.read.schema("word string, n bigint").csv(csv)) == [("a", 2), ("b", 1)]
+
+
+# ---------------------------------------------------------------- rules that clean data do not show
+
+
+def alert_seconds(df):
+    got = alerts.rise_alert(df, "10 seconds").select("id", F.unix_seconds("alert_ts") - BASE)
+    return sorted(map(tuple, got.collect()))
+
+
+def test_rise_alert_and_bands_with_nan(make):
+    nan = float("nan")
+    assert alert_seconds(make([("a", 100, 20), ("a", 102, nan), ("a", 104, 15), ("a", 130, 16)])) == [("a", 110), ("a", 140)]
+    assert alert_seconds(make([("a", 100, nan), ("a", 200, -1)])) == []
+    profile = alerts.sensor_profile(make([("a", 1, nan), ("a", 2, 31), ("a", 3, 11)])).first()
+    assert (profile.n_low, profile.n_mid, profile.n_high, profile.min_temperature) == (1, 1, 1, 11.0)
+
+
+def test_lengths_count_utf16_units(spark):
+    df = spark.createDataFrame([(1, "a🙂_é")], "seq long, id string")
+    assert [(r.word, r.length) for r in lateral.lateral_split(df).collect()] == [("a🙂", 3), ("é", 1)]
+    register_split(spark, "utf_words", "_")
+    got = spark.sql("SELECT word, length FROM utf_words('a🙂_é')").collect()
+    assert sorted(map(tuple, got)) == [("a🙂", 3), ("é", 1)]
+
+
+def test_log_keeps_its_order(spark):
+    rows = [("k", "a,1,2.0", 0, 7), ("k", "a,1,3.0", 0, 8), ("k", "a,1,9.0", 0, 6)]
+    rows_ = spark.createDataFrame(rows, "key string, value string, partition int, offset long")
+    latest = alerts.latest_by_arrival(log.decode_log(rows_)).collect()
+    assert [(r.id, r.temperature) for r in latest] == [("a", 3.0)]
+
+
+def test_building_time_blocks_starts_no_job(spark, sample):
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        windows.over_rows(sample)
+        alerts.rise_alert(sample)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not seen.getJobIdsForGroup("building")
+
+
+def test_whole_window_function_sees_all_elements(make):
+    import pyarrow as pa
+
+    df = make([("a", s, s % 7) for s in range(600)])
+
+    def median(_id, _start, batches):
+        values = sorted(t for b in batches for t in b.column("temperature").to_pylist())
+        yield pa.RecordBatch.from_pydict({"middle": [values[len(values) // 2]]})
+
+    got = windows.slide_apply(df.select("id", "ts", "temperature"), median, "middle double", "600 seconds", "600 seconds")
+    assert all(isinstance(r.middle, float) for r in got.collect()) and got.count() in (1, 2)

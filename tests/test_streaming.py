@@ -356,3 +356,65 @@ def test_hook_sends_every_row(spark):
     assert query.awaitTermination(120)
     sent = sorted(line for f in os.listdir(folder) for line in open(f"{folder}/{f}").read().split("\n"))
     assert sent == sorted(["sensor_1=39.8", "sensor_10=38.1", "sensor_6=15.4", "sensor_7=6.7"])
+
+
+def test_files_of_one_folder_arrive_by_age_whatever_their_size(spark):
+    """The older file is the smaller one: packing files by size would number it last."""
+    folder = tempfile.mkdtemp()
+    for i, lines in enumerate([[("a", 1, 10.0)], [("a", 2, 20.0), ("a", 3, 30.0), ("a", 4, 40.0)]]):
+        path = f"{folder}/part-{i}.txt"
+        with open(path, "w") as f:
+            f.write("".join(f"{line}\n" for line in as_lines(lines)))
+        os.utime(path, (1_600_000_000 + i, 1_600_000_000 + i))
+    got = drain(processors.running_sum(readings(spark, folder), "temperature"))
+    assert [r[-1] for r in got] == [10.0, 30.0, 60.0, 100.0]
+    with pytest.raises(ValueError):
+        sources.stream_readings(spark, folder, arrival=True, files_per_trigger=2)
+
+
+class FakeState:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class FakeHandle:
+    def __init__(self):
+        self.timers = set()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class FakeClock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_due_timer_fires_before_a_drop_of_the_same_micro_batch():
+    import pandas as pd
+
+    alert = processors.RiseAlert(6000, "up")
+    alert.handle, alert.state = FakeHandle(), FakeState()
+
+    def feed(now, *temperatures):
+        rows = pd.DataFrame({"seq": range(len(temperatures)), "temperature": temperatures})
+        return [r for out in alert.handleInputRows(("a",), iter([rows]), FakeClock(now)) for r in out.alert_ms]
+
+    assert feed(5000, 20.0) == [] and alert.handle.timers == {11000}
+    assert feed(12000, 15.0) == [11000] and alert.handle.timers == set()
+    assert feed(13000, 16.0, 15.0) == [] and alert.handle.timers == set()
