@@ -205,6 +205,8 @@ def test_word_counts(spark):
     gaps = spark.createDataFrame([("a  b ",), ("",)], "value string")
     assert dict(aggregate.word_count(gaps).collect()) == {"a": 1, "": 2, "b": 1}
     assert dict(aggregate.word_count(gaps, drop_empty=True).collect()) == {"a": 1, "b": 1}
+    texts = spark.createDataFrame([("A,b\r\nb,,c d\n",), (None,)], "text string")
+    assert dict(aggregate.text_word_count(texts).collect()) == {"a": 1, "b": 2, "c d": 1}
 
 
 def test_running_words(spark):

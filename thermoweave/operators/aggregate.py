@@ -52,6 +52,14 @@ def word_count(lines: DataFrame, sep: str = " ", lower: bool = False, drop_empty
     return words(lines, sep, lower, drop_empty).groupBy("word").agg(F.count("*").alias("n"))
 
 
+def text_word_count(docs: DataFrame, sep: str = ",", lower: bool = True) -> DataFrame:
+    """(word, n) of the non-empty words between separators and line ends, in one explode."""
+    value = F.lower("text") if lower else F.col("text")
+    parts = F.split(value, rf"\r?\n|{re.escape(sep)}", -1)
+    found = docs.select(F.explode(parts).alias("word")).filter(F.length("word") > 0)
+    return found.groupBy("word").agg(F.count("*").alias("n"))
+
+
 def running_word_count(docs: DataFrame, block_docs: int = 2048) -> DataFrame:
     """Every non-empty word with its count so far, in (doc_id, position) order.
 

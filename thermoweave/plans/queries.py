@@ -211,9 +211,7 @@ def registered() -> dict[str, Query]:
         "udf_hash_sql": _hash_sql,
         # aggregates
         "wc_space": _on_text(lambda d: aggregate.word_count(lines(d))),
-        "wc_comma": _on_text(
-            lambda d: aggregate.word_count(lines(d), ",", lower=True, drop_empty=True)
-        ),
+        "wc_comma": _on_text(aggregate.text_word_count),
         "wc_running": _on_text(aggregate.running_word_count),
         "group_count": _on_readings(aggregate.group_count),
         "group_count_sql": _in_sql(aggregate.group_count_sql, "count_input"),
