@@ -21,7 +21,7 @@ MOST_DOMAINS = 64
 EVIDENCE = 25.0  # words whose evidence a posterior takes in at most, however long the text
 SMOOTHING = 0.5
 TEMPER = 0.7
-STEPS, TOLERANCE = 25, 1e-9
+STEPS, TOLERANCE = 25, 1e-6
 
 ROW_KEY = ("__d", "__t1", "__t2")
 
