@@ -46,6 +46,14 @@ def test_disguise_raises_the_score(model):
     assert reader.score(clean) < 0.3 and reader.score(plain) > 0.9 and reader.score(hidden) > 0.9
 
 
+@pytest.mark.parametrize("written", ["$cum", "$tupid", "|oser", "!diot", "($cum!!)", "$tupid!", "idiot###", "idiot!!", "(idiot)"])
+def test_signs_at_the_ends_of_words(model, written):
+    reader, plain = toxicity.Reader(model), "the house on the hill is for the scum stupid loser idiot"
+    word = max((w for w in plain.split()[8:]), key=lambda w: w[1:4] in written)
+    assert reader.score(f"the house is {written} on the hill") >= reader.score(f"the house is {word} on the hill") > 0.3
+    assert reader.score("the house! (is) on $500 the hill!!") < 0.3
+
+
 def test_odd_toxicity(spark, frame, labels, odd_rows):
     got = toxicity.toxicity_report(frame(odd_rows), labels).collect()
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got)

@@ -45,8 +45,11 @@ SWAP, DROP, WASTE, REPEAT = 1.0, 0.7, 20.0, 0.3
 
 SPACED = regex.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
 EDGES = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()) + "…«»“”„’‘"
+SIGNS = "".join(c for c in STANDS_FOR if not c.isalnum())
+FIRM = "".join(c for c in EDGES if c not in SIGNS)  # ends that stand for no letter
 PLAIN = regex.compile(r"\p{L}*")
 STRETCHED = regex.compile(r"(\p{L})\1\1")
+JOINERS = " .-_*"
 JOINER = regex.compile(r"[ .\-_*]+")
 
 
@@ -141,6 +144,15 @@ def words_of(text: str | None) -> set[str]:
     return {w.strip(EDGES) for w in (text or "").lower().split()} - {""}
 
 
+def forms_of(text: str | None) -> dict[str, set[str]]:
+    """The words of ``words_of``, and for each the forms that keep signs for letters at the ends."""
+    out: dict[str, set[str]] = {}
+    for raw in set((text or "").lower().split()):
+        if core := raw.strip(EDGES):
+            out.setdefault(core, {core}).add(raw.strip(FIRM))
+    return out
+
+
 def features(word: str) -> list[str]:
     """A word and its beginnings; a trailing ~ tells them apart."""
     return [word, *(word[:n] + "~" for n in PREFIXES if len(word) > n)]
@@ -152,11 +164,17 @@ class Reader(dict):
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
+        self.stems = {f[:n] for f in model.weights for n in range(1, len(f) + 1)}
 
     def __missing__(self, word: str) -> float:
         best = self._best(word)
         if disguised(word):
             best = max(best, self._best(restore(word, self.model.trigrams)))
+        if word.strip(SIGNS) != word:
+            best = max(best, self._between_signs(word))
+            for part in (word.rstrip(EDGES), word.lstrip(EDGES)):
+                if part != word:
+                    best = max(best, self[part])
         if len(self) < CACHED_WORDS and len(word) < 40:
             self[word] = best
         return best
@@ -165,10 +183,28 @@ class Reader(dict):
         weights = self.model.weights
         return max((weights.get(f, 0.0) for f in features(word)), default=0.0)
 
+    def _next(self, live: set[str], char: str) -> set[str]:
+        """The beginnings of known words that ``live`` ones become when ``char`` is read."""
+        letters = [char] if char.isalpha() else STANDS_FOR.get(char, "")
+        longer = {s + c for s in live for c in letters if s + c in self.stems}
+        return longer | {s for s in live if s[-1:] and (s[-1] in letters or char in JOINERS)}
+
+    def _between_signs(self, word: str) -> float:
+        """The best known word that starts at any of the signs in front and ends at any of those behind."""
+        if sum(c.isalpha() for c in word) < 2:
+            return 0.0
+        first, last = len(word) - len(word.lstrip(EDGES + SIGNS)), len(word.rstrip(EDGES + SIGNS))
+        live, best = set(), 0.0
+        for at, char in enumerate(word):
+            live = self._next(live | {""} if at <= first else live, char)
+            if at + 1 >= last:
+                best = max([best, *(self.model.weights.get(s, 0.0) for s in live)])
+        return best
+
     def evidence(self, text: str | None) -> list[float]:
         """What the classifier sees: the best word, the best five, how many good ones, their share."""
-        words = words_of(text)
-        found = [w for w in map(self.__getitem__, words) if w]
+        words = forms_of(text)
+        found = [w for w in (max(map(self.__getitem__, forms)) for forms in words.values()) if w]
         for spaced in SPACED.finditer(text or ""):
             joined = restore(JOINER.sub("", spaced[0]), self.model.trigrams)
             if len(joined) >= 4:
