@@ -54,6 +54,16 @@ def test_signs_at_the_ends_of_words(model, written):
     assert reader.score("the house! (is) on $500 the hill!!") < 0.3
 
 
+@pytest.mark.parametrize(
+    "written", ["st" + "u" * 24 + "pid", "such a l o s e r", "you are a m o r o n", "s t u p ! d", "$ c u m", "a s c u m i s",
+                "i.d.i.o.t.a.n.d.a.m.o.r.o.n", "you-are-such-a-st*pid-l0ser-and-m0r0n"],
+)
+def test_long_and_spaced_words(model, written):
+    reader = toxicity.Reader(model)
+    assert reader.score(f"the house {written} on the hill") > reader.score("the house on the hill") + 0.3
+    assert reader.score("| a | b | - | - | and $ 1 0 0 . 5 0, tel 1 2 3 4 5 6 7 on the well-known hill") < 0.3
+
+
 def test_odd_toxicity(spark, frame, labels, odd_rows):
     got = toxicity.toxicity_report(frame(odd_rows), labels).collect()
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got)

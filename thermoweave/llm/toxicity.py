@@ -43,12 +43,14 @@ OTHER = SIZE - 1
 # Costs of the channel, in nats.
 SWAP, DROP, WASTE, REPEAT = 1.0, 0.7, 20.0, 0.3
 
-SPACED = regex.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
 EDGES = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()) + "…«»“”„’‘"
 SIGNS = "".join(c for c in STANDS_FOR if not c.isalnum())
+_ONE = rf"(?:[^\W_]|[{regex.escape(SIGNS)}])"
+SPACED = regex.compile(rf"(?<![^\W_])(?:{_ONE}[ .\-_*]{{1,2}}){{2,}}{_ONE}(?![^\W_])")
 FIRM = "".join(c for c in EDGES if c not in SIGNS)  # ends that stand for no letter
 PLAIN = regex.compile(r"\p{L}*")
 STRETCHED = regex.compile(r"(\p{L})\1\1")
+REPEATED = regex.compile(r"(.)\1{2,}", regex.S)
 JOINERS = " .-_*"
 JOINER = regex.compile(r"[ .\-_*]+")
 
@@ -101,38 +103,50 @@ class Model:
     base: float = 0.0
 
 
-def restore(token: str, trigrams: np.ndarray) -> str:
+def letter_of(char: str) -> int:
+    """The model's number of a letter, 0 of what it takes for no letter."""
+    return int(CODE[ord(char)]) if ord(char) < len(CODE) else OTHER * char.isalpha()
+
+
+def restore(token: str, trigrams: np.ndarray, split: bool = False) -> str:
     """The likeliest word behind a disguised token, by Viterbi decoding with a beam.
 
     Each character is a letter kept, a sign swapped for a letter, a sign or joiner dropped, or a repeat of the
-    letter before it. The state is the last two letters written.
+    letter before it; with ``split`` a joiner may also end a word, and words come with blanks between. The
+    state is the last two letters written.
     """
-    beam: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    beam: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for char in token.lower():
-        letter = int(CODE[ord(char)]) if ord(char) < len(CODE) else OTHER * char.isalpha()
+        letter = letter_of(char)
         options = [(letter, char, 0.0)] if letter else []
         options += [(LETTERS.index(c) + 1, c, SWAP) for c in STANDS_FOR.get(char, "")]
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
 
-        def offer(state: tuple[int, int], cost: float, word: str, new=new) -> None:
+        def offer(state: tuple[int, int], cost: float, word: tuple, new=new) -> None:
             if state not in new or cost < new[state][0]:
                 new[state] = (cost, word)
 
         for (a, b), (cost, word) in beam.items():
             for code, c, price in options:
-                offer((b, code), cost + price - trigrams[a, b, code], word + c)
+                offer((b, code), cost + price - trigrams[a, b, code], (word, c))
                 if code == b:
                     offer((a, b), cost + price + REPEAT, word)
             if not letter:
                 offer((a, b), cost + (WASTE if char in STANDS_FOR else DROP), word)
+                if split and b and char in JOINERS:
+                    offer((b, 0), cost - trigrams[a, b, 0], (word, " "))
         beam = dict(sorted(new.items(), key=lambda x: x[1][0])[:BEAM])
     ends = ((cost - trigrams[a, b, 0], word) for (a, b), (cost, word) in beam.items())
-    return min(ends, default=(0.0, ""))[1]
+    letters, word = [], min(ends, key=lambda x: x[0], default=(0.0, ()))[1]
+    while word:
+        word, c = word
+        letters.append(c)
+    return "".join(reversed(letters))
 
 
 def disguised(core: str) -> bool:
     """Letters mixed with signs that stand for letters or join them, or a letter three times in a row."""
-    if not 3 <= len(core) <= 24 or sum(c.isalpha() for c in core) < 2:
+    if len(core) < 3 or sum(c.isalpha() for c in core) < 2:
         return False
     return bool(STRETCHED.search(core)) or (
         not PLAIN.fullmatch(core) and all(c.isalpha() or c in STANDS_FOR or c in ".-_*" for c in core)
@@ -164,12 +178,13 @@ class Reader(dict):
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
-        self.stems = {f[:n] for f in model.weights for n in range(1, len(f) + 1)}
+        self.known = {f.rstrip("~") for f in model.weights}
+        self.stems = {f[:n] for f in self.known for n in range(1, len(f) + 1)}
 
     def __missing__(self, word: str) -> float:
         best = self._best(word)
         if disguised(word):
-            best = max(best, self._best(restore(word, self.model.trigrams)))
+            best = max(best, self._restored(REPEATED.sub(r"\1\1", word)))
         if word.strip(SIGNS) != word:
             best = max(best, self._between_signs(word))
             for part in (word.rstrip(EDGES), word.lstrip(EDGES)):
@@ -189,6 +204,46 @@ class Reader(dict):
         longer = {s + c for s in live for c in letters if s + c in self.stems}
         return longer | {s for s in live if s[-1:] and (s[-1] in letters or char in JOINERS)}
 
+    def _reaches(self, token: str, anywhere: bool) -> bool:
+        """Whether any reading of ``token``, from its start or from anywhere, begins with something known.
+
+        Without that its restoration has no weight, and the lattice need not be searched.
+        """
+        live = {""}
+        for char in token:
+            live = self._next(live | {""} if anywhere else live, char) | (set() if letter_of(char) else live)
+            if not live.isdisjoint(self.known):
+                return True
+            if not live and not anywhere:
+                return False
+        return False
+
+    def _restored(self, token: str) -> float:
+        """The best of a token read as one word and, where it holds joiners, as several."""
+        best = 0.0
+        if self._reaches(token, False):
+            best = self._best(restore(token, self.model.trigrams))
+        if JOINER.search(token) and self._reaches(token, True):
+            best = max([best, *map(self._best, restore(token, self.model.trigrams, True).split())])
+        return best
+
+    def _spelled(self, run: str) -> list[float]:
+        """Evidence of a run of spaced characters: words that the lattice cuts it into, the run as one word,
+        and known words of four or more letters from any start in it."""
+        run = REPEATED.sub(r"\1\1", run.lower())
+        if not self._reaches(run, True):
+            return []
+        words = [w for w in restore(run, self.model.trigrams, True).split() if len(w) > 2]
+        found = [x for x in map(self._best, words) if x]
+        joined = JOINER.sub("", run)
+        best = self._best(restore(joined, self.model.trigrams)) if self._reaches(joined, False) else 0.0
+        if sum(c.isalpha() for c in run) > 1:
+            live: set[str] = set()
+            for char in run:
+                live = self._next(live | {""}, char)
+                best = max([best, *(self.model.weights.get(s, 0.0) for s in live if len(s) > 3)])
+        return found if best <= max(found, default=0.0) else [*found, best]
+
     def _between_signs(self, word: str) -> float:
         """The best known word that starts at any of the signs in front and ends at any of those behind."""
         if sum(c.isalpha() for c in word) < 2:
@@ -206,9 +261,7 @@ class Reader(dict):
         words = forms_of(text)
         found = [w for w in (max(map(self.__getitem__, forms)) for forms in words.values()) if w]
         for spaced in SPACED.finditer(text or ""):
-            joined = restore(JOINER.sub("", spaced[0]), self.model.trigrams)
-            if len(joined) >= 4:
-                found.append(self._best(joined))
+            found += self._spelled(spaced[0])
         found.sort(reverse=True)
         good = sum(w > 1 for w in found)
         return [
