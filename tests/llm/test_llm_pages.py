@@ -22,6 +22,23 @@ def test_unmarked_page_by_line_blocks():
     assert main_text(page) == f"Title Short. {FILL.strip()} see this too Last."
 
 
+def test_links_of_an_article_are_its_text():
+    links = "".join(f"<li><a href=x>Part {i}</a></li>" for i in range(5))
+    page = (
+        f"<nav><a>Home</a></nav><article><h1><a href=x>Title</a></h1><ul>{links}</ul><p>{FILL}</p><ul>{links}</ul>"
+        f"<p>End</p><div class='ad'><a>Buy</a></div><p><a href=x>Source</a></p></article><footer>f</footer>"
+    )
+    parts = " ".join(f"Part {i}" for i in range(5))
+    assert main_text(page) == f"Title {parts} {FILL.strip()} {parts} End Source"
+    assert main_text("<article><p><a>Only a link</a></p></article>") == "Only a link"
+
+
+def test_short_end_behind_frame_lines():
+    frame = "<div class='ad'><p>Buy</p><p>this</p><p>now</p><p><a>here</a></p></div>"
+    links = "".join(f"<p><a>{x}</a></p>" for x in "abcd")
+    assert main_text(f"<p>First.</p>{frame}<p>{FILL}</p>{frame}<p>Last.</p>{links}<p>x</p>") == f"First. {FILL.strip()} Last."
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<script>only") == main_text("<nav>x</nav>") == ""
     assert main_text("plain text, no markup") == "plain text, no markup"

@@ -48,7 +48,7 @@ RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW_TAGS}
 
 @dataclass
 class Line:
-    """Text between two line ends. weight: its characters outside links, 0 in the frame."""
+    """Text between two line ends. weight: its characters outside links, or in an article all; 0 in the frame."""
 
     text: str
     weight: int
@@ -86,7 +86,7 @@ def page_lines(page: str) -> list[Line]:
     def put(raw: str) -> None:
         nonlocal weight
         pieces.append(raw)
-        if not (frame or link):
+        if not frame and (article or not link):
             weight += len(raw.strip())
 
     def end_line() -> None:
@@ -141,14 +141,16 @@ def main_text(page: str | None) -> str:
 
     The block at a line sums the weights of it and the next ``WINDOW`` - 1 lines. Text runs from
     a surge, where blocks come to hold ``SURGE`` characters, to a dive, where a block holds none;
-    lines that lead up to a surge without a dive belong to it. On pages that mark articles, lines
-    outside weigh nothing and an article surges at any length. Where nothing surges, the
+    lines that lead up to a surge without a dive belong to it, and so do runs with only frame lines
+    between them and it. On pages that mark articles, all of the articles' lines are the text, links too, and
+    lines outside weigh nothing. Where nothing surges, the
     heaviest run is the text. Frame lines (menus, adverts, comments and the like) weigh nothing and
     are left out wherever they stand.
     """
     lines = page_lines(page or "")
-    marked = any(x.article and x.weight and not x.frame for x in lines)
-    weights = [0 if x.frame or (marked and not x.article) else x.weight for x in lines]
+    if any(x.article and x.weight and not x.frame for x in lines):
+        return " ".join(x.text for x in lines if x.article and not x.frame)
+    weights = [0 if x.frame else x.weight for x in lines]
     blocks = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     runs: list[tuple[int, int, int]] = []  # first line, line after the last, highest block
     begin = None
@@ -157,14 +159,19 @@ def main_text(page: str | None) -> str:
         if begin is None and not flat:
             begin = i
         elif begin is not None and flat:
-            runs.append((begin, i, max(blocks[begin:i])))
+            heavy = [k for k in range(begin, i) if weights[k]]
+            runs.append((heavy[0], heavy[-1] + 1, max(blocks[begin:i])))
             begin = None
-    surging = [r for r in runs if marked or r[2] >= SURGE] or sorted(runs, key=lambda r: -r[2])[:1]
+    groups: list[list[tuple[int, int, int]]] = []  # runs with only frame lines between
+    for run in runs:
+        if groups and all(x.frame for x in lines[groups[-1][-1][1] : run[0]]):
+            groups[-1].append(run)
+        else:
+            groups.append([run])
+    surging = [g for g in groups if any(r[2] >= SURGE for r in g)] or [[r] for r in sorted(runs, key=lambda r: -r[2])[:1]]
     kept = []
-    for first, last, _ in surging:
-        heavy = [i for i in range(first, last) if weights[i]]
-        inside = lines[heavy[0] : heavy[-1] + 1] if heavy else []
-        kept += [x.text for x in inside if not x.frame and (x.article or not marked)]
+    for group in surging:
+        kept += [x.text for x in lines[group[0][0] : group[-1][1]] if not x.frame]
     return " ".join(kept)
 
 
