@@ -39,6 +39,24 @@ def test_short_end_behind_frame_lines():
     assert main_text(f"<p>First.</p>{frame}<p>{FILL}</p>{frame}<p>Last.</p>{links}<p>x</p>") == f"First. {FILL.strip()} Last."
 
 
+def test_head_and_option_without_end_tags():
+    head = "<html><head><meta charset=x><title>T</title><script>var a = '<body>'</script><style>p{}</style>"
+    for rest in (f"<body><p>{FILL}</body>", f"<p>{FILL}", FILL, f"</head><body><p>{FILL}"):
+        assert main_text(head + rest) == FILL.strip()
+    assert main_text(f"<datalist><option value=a>A<option>B</datalist><p>{FILL}") == FILL.strip()
+
+
+def test_names_that_only_sound_like_frame():
+    for name in ("content-with-sidebar", "elementor-widget elementor-widget-text-editor", "related-work", "modal"):
+        assert main_text(f"<div class='{name}'><p>{FILL}</p></div>") == FILL.strip()
+        if name != "modal":
+            page = f"<article><p>{FILL}</p><section id='{name}'><p>Part</p></section></article>"
+            assert main_text(page) == FILL.strip() + " Part"
+    for name in ("related-posts", "ad-slot", "cookie-notice", "comments-section", "main-sidebar", "widget"):
+        assert main_text(f"<p>{FILL}</p><div class='{name}'><p>Junk {FILL[:90]}</p></div>") == FILL.strip()
+    assert main_text(f"<p>{FILL}</p><div class='comments'><p>{FILL * 3}</p></div>") == FILL.strip()
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<script>only") == main_text("<nav>x</nav>") == ""
     assert main_text("plain text, no markup") == "plain text, no markup"

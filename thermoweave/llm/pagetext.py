@@ -15,7 +15,8 @@ SURGE = 80  # characters that a line block must hold for the text to begin
 
 # Elements without text of the page, elements that end a line, elements and roles of the
 # frame around an article, words of class and id names that tell the frame.
-RAW = "script style noscript template textarea select option iframe object svg math canvas video audio head"
+RAW = "script style noscript template textarea select option iframe object svg math canvas video audio"
+HEAD = "title base link meta style script noscript template"
 LINE = (
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section "
@@ -32,7 +33,12 @@ NAMES = (
     "newsletter subscribe subscription signup login share sharing social related recommended "
     "teaser form search skip"
 )
+# Words that say nothing at the end of a name, names that tell the frame only alone, and those of threads,
+# which may be longer than the article.
+VAGUE = "wrapper wrap container inner outer section box list area block slot unit bar links buttons posts left right top bottom"
+ALONE, THREADS = frozenset(("widget", "widgets")), frozenset("comment comments commentlist disqus replies".split())
 RAW_TAGS, LINE_TAGS, FRAME_TAGS = (frozenset(x.split()) for x in (RAW, LINE, FRAME))
+HEAD_TAGS, VAGUE_WORDS = frozenset(HEAD.split()), frozenset(VAGUE.split())
 FRAME_ROLES, FRAME_NAMES = frozenset(ROLES.split()), frozenset(NAMES.split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # The tags that one may leave open, and what closes them.
@@ -44,6 +50,8 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW_TAGS}
+RAW_END["option"] = re.compile(r"</option\s*>|(?=</?[a-z])|\Z", re.I)  # its end tag may be left out, and it holds text only
+TITLE_END = re.compile(r"</title\s*>|(?=</head\b|<body\b)|\Z", re.I)
 
 
 @dataclass
@@ -56,30 +64,47 @@ class Line:
     article: int  # number of the article or main element around it, 0 if none
 
 
-def is_frame(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element belongs to the frame by its tag, role, class or id."""
+def frame_word(name: str) -> str:
+    """The word of a class or id name that tells the frame: its last one, without those that say nothing."""
+    words = WORD.findall(name)
+    if words and words[0] == "is" or not {"has", "with", "no", "js", "without"}.isdisjoint(words[:-1]):
+        return ""
+    while len(words) > 1 and words[-1] in VAGUE_WORDS and words[-1] not in FRAME_NAMES:
+        words.pop()
+    last = words[-1] if words else ""
+    return last if last in FRAME_NAMES and not (last in ALONE and name != last) else ""
+
+
+def is_frame(tag: str, attributes: str, in_article: bool) -> str:
+    """What makes an element frame: "tag", "role", or the word of its class or id; "" if nothing does."""
     if tag in FRAME_TAGS or (tag == "header" and not in_article):
-        return True
+        return "tag"
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return ""
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "").lower()
         if name.lower() == "role":
             if value.strip() in FRAME_ROLES:
-                return True
+                return "role"
             continue
-        for one in value.split():
-            words = WORD.findall(one)
-            if words and words[0] not in ("has", "with", "no", "is", "js") and not FRAME_NAMES.isdisjoint(words):
-                return not (in_article and words[-1] == "header")
-    return False
+        for word in map(frame_word, value.split()):
+            if word and not (in_article and word == "header"):
+                return word
+    return ""
 
 
 def page_lines(page: str) -> list[Line]:
-    """Strip markup: the lines of a page, in order."""
+    """Strip markup: the lines of a page, in order.
+
+    An element is not frame by its name alone if it holds most of the page's weight and no article stands
+    outside the frame; threads of comments are frame at any length.
+    """
     lines: list[Line] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, frame, link, article
+    named: list[tuple[int, ...]] = []  # of each line, the elements around it that are frame by name
+    stack: list[tuple[str, bool, bool, int, tuple[int, ...]]] = []  # tag, frame, link, article, names
     frame, link, article, articles = False, False, 0, 0
+    names: tuple[int, ...] = ()
+    head = False
     pieces: list[str] = []
     weight, at = 0, 0
 
@@ -95,23 +120,32 @@ def page_lines(page: str) -> list[Line]:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
                 lines.append(Line(text, weight, frame, article))
+                named.append(names)
             pieces.clear()
         weight = 0
 
     while found := TOKEN.search(page, at):
+        head = head and not page[at : found.start()].strip()
         if found.start() > at:
             put(page[at : found.start()])
         at = found.end()
         if found[2] is None:
             continue
         tag, closing = found[2].lower(), bool(found[1])
+        head = head and tag in HEAD_TAGS
+        if head and tag == "title" and not closing:
+            at = TITLE_END.search(page, at).end()
+            continue
+        if tag == "head":
+            head = not closing
+            continue
         if tag in LINE_TAGS:
             end_line()
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
                     end_line() if tag in LINE_TAGS or stack[depth][1] else None
-                    _, frame, link, article = stack[depth]
+                    _, frame, link, article, names = stack[depth]
                     del stack[depth:]
                     break
             continue
@@ -121,18 +155,32 @@ def page_lines(page: str) -> list[Line]:
         if tag in VOID or found[3].endswith("/"):
             continue
         while stack and tag in OPEN_ENDED.get(stack[-1][0], ()):
-            _, frame, link, article = stack.pop()
-        stack.append((tag, frame, link, article))
+            _, frame, link, article, names = stack.pop()
+        stack.append((tag, frame, link, article, names))
         if tag in ("article", "main") and not frame:
             articles += 1
             article = article or articles
-        if not frame and is_frame(tag, found[3], article > 0):
+        why = "" if frame else is_frame(tag, found[3], article > 0)
+        if why:
             end_line()
-            frame = True
+            if why in ("tag", "role") or why in THREADS:
+                frame = True
+            else:
+                names += (found.start(),)
         link = link or tag == "a"
     if at < len(page):
         put(page[at:])
     end_line()
+    mass: dict[int, int] = {}
+    for line, inside in zip(lines, named, strict=True):
+        for element in inside:
+            mass[element] = mass.get(element, 0) + line.weight
+    half = sum(x.weight for x in lines) / 2
+    outside = any(x.article and x.weight and not n for x, n in zip(lines, named, strict=True))
+    small = {element for element, m in mass.items() if outside or m <= half}
+    for line, inside in zip(lines, named, strict=True):
+        if not small.isdisjoint(inside):
+            line.frame, line.weight = True, 0
     return lines
 
 
