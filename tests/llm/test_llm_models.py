@@ -149,6 +149,19 @@ def test_mixing_by_given_targets(spark, frame, prose):
     assert repeated.where("doc_id % 4 = 0").count() == 40
 
 
+def test_mixing_of_many_domains(spark, frame):
+    size = mixing.DENSE_DOMAINS + 6
+    rows = [(i, f"w{i % size} v{i % size} " * 20) for i in range(3 * size)]
+    labelled = spark.createDataFrame([(i, f"d{i:03}") for i in range(size)], "doc_id long, domain string")
+    targets = {f"d{i:03}": 1 + i % 2 for i in range(size)}
+    got = mixing.mix(frame(rows), labelled, targets=targets, budget=120 * size * 1.5).collect()
+    assert len(got) == 3 * size and {r.domain for r in got} == set(targets)
+    tokens = dict.fromkeys(targets, 0.0)
+    for r in got:
+        tokens[r.domain] += r.rate * r.n_tokens
+    assert all(abs(tokens[d] / (120 * t) - 1) < 0.01 for d, t in targets.items())
+
+
 def test_odd_mixing(frame, labels, odd_rows):
     got = mixing.mixing_report(frame(odd_rows), labels).collect()
     assert len(got) == len(odd_rows) and all(r.rate >= 0 for r in got)

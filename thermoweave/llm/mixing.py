@@ -7,7 +7,7 @@ operations; the driver sees numbers per domain only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from thermoweave.llm.common import ascii_lower, cut
 
 BUCKETS = 2048  # word hash buckets of the classifier
 TRAINING_ROWS = 20_000  # labelled documents it is fitted on, those of the smallest hashes
-MOST_DOMAINS = 64
+DENSE_DOMAINS = 64  # up to so many, a step takes all domain pairs in one row; above, it is solved by passes of one sum per domain
 EVIDENCE = 25.0  # words whose evidence a posterior takes in at most, however long the text
 SMOOTHING = 0.5
 TEMPER = 0.7
@@ -47,6 +47,14 @@ def _words(text: str) -> Column:
     return F.filter(F.split(lowered, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
 
 
+def _added(terms: list[Column]) -> Column:
+    """Sum of columns; many are added as a tree, as deep expressions overflow the planner's stack."""
+    if len(terms) <= DENSE_DOMAINS:
+        return sum(terms, F.lit(0.0))
+    half = len(terms) // 2
+    return _added(terms[:half]) + _added(terms[half:])
+
+
 def _bucket(word: str) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS))
 
@@ -63,9 +71,7 @@ def learn(docs: DataFrame, labelled: DataFrame, rows: int, text: str, doc_id: st
         .orderBy(F.xxhash64("__id"), "__id").limit(rows)
     )
     taught = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text")).join(known, "__id")
-    sizes = {r[0]: r[1] for r in taught.groupBy("domain").count().orderBy("domain").limit(MOST_DOMAINS + 1).collect()}
-    if len(sizes) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
+    sizes = {r[0]: r[1] for r in taught.groupBy("domain").count().orderBy("domain").collect()}
     names = list(sizes)
     counts = (
         taught.select("domain", F.explode(_words("__text")).alias("w"))
@@ -114,7 +120,7 @@ def memberships(
         return names, scored
     top = F.greatest(*[f"z{k}" for k in range(len(names))]) if len(names) > 1 else F.col("z0")
     scored = scored.withColumn("__top", top)
-    total = sum((F.exp(F.col(f"z{k}") - F.col("__top")) for k in range(len(names))), F.lit(0.0))
+    total = _added([F.exp(F.col(f"z{k}") - F.col("__top")) for k in range(len(names))])
     return names, scored.select(
         *ROW_KEY, "copies", "tokens",
         *[(F.exp(F.col(f"z{k}") - F.col("__top")) / total).alias(f"p{k}") for k in range(len(names))],
@@ -127,12 +133,37 @@ def default_targets(natural: np.ndarray) -> np.ndarray:
     return tempered / tempered.sum()
 
 
+def _dot(p: list[Column], v: np.ndarray) -> Column:
+    return _added([x * F.lit(float(m)) for x, m in zip(p, v, strict=True)])
+
+
+def _solve(along: Callable[[np.ndarray], np.ndarray], error: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """x with ``along(x)`` = ``error``, by conjugate gradients on a symmetric product scaled by ``scale``."""
+    x, rest = np.zeros_like(error), error.copy()
+    z = rest / scale
+    way, size = z.copy(), float(rest @ z)
+    first = size
+    for _ in range(len(error)):
+        if size <= 1e-12 * first:
+            break
+        image = along(way)
+        step = size / float(way @ image)
+        x += step * way
+        rest -= step * image
+        z = rest / scale
+        size, before = float(rest @ z), size
+        way = z + size / before * way
+    return x
+
+
 def fit_rates(members: DataFrame, size: int, targets: np.ndarray, least: float) -> DataFrame:
     """``members`` with ``rate`` >= ``least``, by projected gradient on the domains' squared errors.
 
     A step adds to every rate the posteriors' mix of one number per domain, then projects. These numbers
     are the gradient, scaled by the domains' curvature over the rates that are free to move. One
-    aggregate per step gives both; it ends when no total moves any more.
+    aggregate per step gives both; it ends when no total moves any more. Above ``DENSE_DOMAINS`` the curvature
+    is never written out: conjugate gradients solve the same step, and each of their passes
+    aggregates one sum per domain.
     """
     sums = lambda df, cells: np.array(
         [float(v or 0) for v in df.agg(*[F.sum(c) for c in cells]).first()]
@@ -143,19 +174,29 @@ def fit_rates(members: DataFrame, size: int, targets: np.ndarray, least: float)
     before = None
     for step in range(STEPS):
         free = F.when(F.col("rate") > least, mass).otherwise(0.0) if step else mass
-        cells = [mass * F.col("rate") * x for x in p] + [free * x * y for x in p for y in p]
-        found = sums(rated, cells)
-        totals, curve = found[:size], found[size:].reshape(size, size)
+        dense = size <= DENSE_DOMAINS
+        pairs = [free * x * y for x in p for y in p] if dense else [free * x for x in p]
+        found = sums(rated, [mass * F.col("rate") * x for x in p] + pairs)
+        totals, curve = found[:size], found[size:]
         error = targets - totals
         worst = np.abs(error).max() / max(targets.max(), 1e-300)
         if worst < TOLERANCE or (before is not None and abs(before - worst) < TOLERANCE):
             break
         before = worst
-        ridge = 1e-9 * max(np.trace(curve), 1e-300) * np.eye(size)
-        move = np.linalg.solve(curve + ridge, error)
-        change = sum((x * F.lit(float(m)) for x, m in zip(p, move, strict=True)), F.lit(0.0))
+        if dense:
+            curve = curve.reshape(size, size)
+            ridge = 1e-9 * max(np.trace(curve), 1e-300) * np.eye(size)
+            move = np.linalg.solve(curve + ridge, error)
+        else:
+            # Posteriors sum to 1, so the sums of a domain are its row of the curvature added up.
+            ridge = 1e-9 * max(curve.sum(), 1e-300)
+            along = lambda v: sums(
+                rated, [free * _dot(p, v) * x for x in p]
+            ) + ridge * v
+            move = _solve(along, error, curve + ridge)
+        change = _dot(p, move)
         rated = rated.withColumn("rate", F.greatest(F.lit(float(least)), F.col("rate") + change))
-        if step % 4 == 3:
+        if step % 4 == 3 or not dense:
             rated = cut(rated)
     return rated
 
