@@ -225,6 +225,7 @@ class Reader(dict):
             best = self._best(restore(token, self.model.trigrams))
         if JOINER.search(token) and self._reaches(token, True):
             best = max([best, *map(self._best, restore(token, self.model.trigrams, True).split())])
+            best = max([best, *(self[part] for part in JOINER.split(token) if len(part) > 2)])
         return best
 
     def _spelled(self, run: str) -> list[float]:
