@@ -1,7 +1,7 @@
 """Hand-derived results on the small sample and on edge cases."""
 
 import pytest
-from conftest import BASE, SAMPLE
+from sample import BASE, SAMPLE
 from pyspark.sql import functions as F
 
 from thermoweave.functions.registry import register_hash, register_split, split_udtf

@@ -7,7 +7,7 @@ import tempfile
 import time
 
 import pytest
-from conftest import BASE, SAMPLE
+from sample import BASE, SAMPLE
 from pyspark.sql import functions as F
 
 from thermoweave.operators import alerts, rolling, windows
