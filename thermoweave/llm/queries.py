@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from thermoweave.llm import egojoin, lines, minhash, mixing, multiindex, packing, pagetext, pii, tokenfiles, toxicity
+from thermoweave.llm import (
+    egojoin,
+    lines,
+    merkle,
+    minhash,
+    mixing,
+    multiindex,
+    orchard,
+    packing,
+    pagetext,
+    pii,
+    resampling,
+    tokenfiles,
+    toxicity,
+)
 from thermoweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +48,11 @@ def registered() -> dict[str, Query]:
         "op10_toxicity": lambda spark, sf_dir: toxicity.toxicity_report(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
         ),
+        "op11_orchard_codes": _over("embeddings", orchard.code_report),
+        "op12_merkle": _over("documents", merkle.fingerprint_report),
+        "op13_resampling": lambda spark, sf_dir: resampling.resampling_report(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        ),
     }
 
 
@@ -42,4 +61,7 @@ def oracles() -> dict[str, str]:
         "op1_ego_join": egojoin.REPORT_SQL,
         "op2_minhash_dedup": minhash.REPORT_SQL,
         "op3_line_dedup": lines.REPORT_SQL,
+        "op11_orchard_codes": orchard.REPORT_SQL,
+        "op12_merkle": merkle.REPORT_SQL,
+        "op13_resampling": resampling.REPORT_SQL,
     }
