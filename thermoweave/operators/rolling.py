@@ -45,10 +45,15 @@ def rolling_min_by(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
     )
 
 
-def changelog_count(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Retracting count: (added, id, cnt); before each new count the old one is withdrawn."""
+def changelog_count(
+    readings: DataFrame, block_rows: int = BLOCK_ROWS, weight: Column | None = None
+) -> DataFrame:
+    """Retracting count: (added, id, cnt); before each new count the old one is withdrawn.
+
+    ``weight`` is how many records a row stands for, 1 by default.
+    """
     counted = running(
-        add_seq_block(readings, rows=block_rows), {"n": ("sum", F.lit(1))}, ["id"]
+        add_seq_block(readings, rows=block_rows), {"n": ("sum", F.lit(1) if weight is None else weight)}, ["id"]
     )
     change = F.filter(
         F.array(

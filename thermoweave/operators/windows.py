@@ -233,14 +233,18 @@ def session_count(readings: DataFrame, gap: str = "1 minute") -> DataFrame:
 
 
 def count_window(
-    readings: DataFrame, size: int = 10, every: int = 2, block_rows: int = BLOCK_ROWS
+    readings: DataFrame, size: int = 10, every: int = 2, block_rows: int = BLOCK_ROWS, weight: Column | None = None
 ) -> DataFrame:
-    """At every ``every``-th element of an id: the window of its latest ``size`` elements."""
+    """At every ``every``-th element of an id: the window of its latest ``size`` elements.
+
+    ``weight`` is how many elements a row counts for, 1 by default.
+    """
+    one = (F.lit(1) if weight is None else weight).alias("_one")
     blocked = add_seq_block(
-        readings.select("seq", "id", "timestamp", "temperature"), rows=block_rows
+        readings.select("seq", "id", "timestamp", "temperature", one), rows=block_rows
     )
     haloed = with_halo(blocked, size - 1, ["id"], ["seq"], ["timestamp", "temperature"])
-    rows = with_totals(haloed, {"nth": ("sum", F.lit(1))}, ["id"])
+    rows = with_totals(haloed, {"nth": ("sum", F.col("_one"))}, ["id"])
     here = in_block(["id"], ["seq"])
     frame = here.rowsBetween(1 - size, Window.currentRow)
     so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)

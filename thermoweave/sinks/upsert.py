@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from thermoweave.operators.alerts import latest_by_arrival, upsert_latest
-from thermoweave.sinks.versions import Versions
+from thermoweave.operators.alerts import latest_by_arrival
+from thermoweave.sinks.keyed import KeyedTable
+from thermoweave.streaming.sources import arrived
 
 
 def merge_statement(target: str, staging: str) -> str:
@@ -29,14 +31,15 @@ def stage_jdbc(readings: DataFrame, url: str, staging: str, properties: dict[str
     )
 
 
-def upsert_table(spark: SparkSession, path: str) -> Versions:
-    return Versions(spark, path, "sensor string, temperature double")
+def upsert_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, "sensor string, temperature double", "sensor")
 
 
-def upsert_batches(table: Versions) -> Callable[[DataFrame, int], None]:
+def upsert_batches(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges each micro-batch into the table."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.write(upsert_latest(table.read(before=batch_id), batch), batch_id)
+        newest = latest_by_arrival(arrived(batch)).select(F.col("id").alias("sensor"), "temperature")
+        table.merge(newest, batch_id)
 
     return merge

@@ -1,7 +1,8 @@
 """Small tables kept as one folder per micro-batch below a shared path.
 
 Version ``n`` is written once micro-batch ``n`` is done. Writing it again gives the same
-rows, so a repeated micro-batch does no harm, and a reader never sees half a version.
+rows, so a repeated micro-batch does no harm, and a reader never sees half a version. Only the
+newest versions are kept, so a long stream lists a few folders.
 """
 
 from __future__ import annotations
@@ -9,14 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+KEPT = 3  # two are needed to repeat the newest
+
+
 class Versions:
     def __init__(self, spark: SparkSession, path: str, ddl: str):
         self.spark, self.path, self.ddl = spark, path.rstrip("/"), ddl
 
-    def _finished(self) -> list[int]:
+    def _root(self):
         sc = self.spark.sparkContext
         root = sc._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(sc._jsc.hadoopConfiguration())
+        return root, root.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def _finished(self) -> list[int]:
+        sc = self.spark.sparkContext
+        root, files = self._root()
         if not files.exists(root):
             return []
         folders = [s.getPath() for s in files.listStatus(root)]
@@ -35,6 +43,9 @@ class Versions:
 
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        root, files = self._root()
+        for old in self._finished()[:-KEPT]:
+            files.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"version={old}"), True)
 
 
 class Scalar:

@@ -15,6 +15,7 @@ from thermoweave.operators.eventtime import mark_late
 from thermoweave.operators.rolling import running_number
 from thermoweave.operators.route import THRESHOLD, side_outputs
 from thermoweave.sinks.versions import Scalar
+from thermoweave.streaming.sources import arrived
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -52,7 +53,7 @@ def route_late(
         batch.persist()
         try:
             start = top.get(before=batch_id)
-            marked = mark_late(batch, start_ms=start, **windows)
+            marked = mark_late(arrived(batch), start_ms=start, **windows)
             late = F.col("late")
             _put(marked.filter(~late).drop("late", "wm_ms"), on_time_path, batch_id)
             _put(marked.filter(late).drop("late", "wm_ms"), late_path, batch_id)
@@ -73,7 +74,7 @@ def number_records(spark: SparkSession, path: str, state_path: str) -> BatchWrit
         batch.persist()
         try:
             base = count.get(before=batch_id) or 0
-            _put(running_number(batch).withColumn("n", F.col("n") + F.lit(base)), path, batch_id)
+            _put(running_number(arrived(batch)).withColumn("n", F.col("n") + F.lit(base)), path, batch_id)
             count.put(base + batch.count(), batch_id)
         finally:
             batch.unpersist()

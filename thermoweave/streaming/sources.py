@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -44,6 +45,78 @@ def with_arrival(stream: DataFrame) -> DataFrame:
     return stream.mapInArrow(number, StructType([*stream.schema, StructField("seq", LongType())]))
 
 
+PLACE = ["_time", "_feed", "_part", "_at"]
+
+
+def with_place(stream: DataFrame) -> DataFrame:
+    """Add where each line of a file stream stands: file time, file, block of the file, line in the block.
+
+    Ordered by these, the lines of a micro-batch stand as if its files had come one at a time, the
+    oldest first, however they were dealt to tasks. Lines are numbered as Arrow batches pass; a task that
+    runs again gives the same numbers. ``in_arrival_order`` makes arrival numbers of it.
+    """
+    meta = {
+        "_time": F.unix_millis("_metadata.file_modification_time"),
+        "_feed": F.col("_metadata.file_path"),
+        "_part": F.col("_metadata.file_block_start"),
+    }
+    placed = stream.withColumns(meta)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, at = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            feed = batch.column("_feed").dictionary_encode()
+            name, part = feed.indices.to_numpy(), batch.column("_part").to_numpy()
+            new = np.flatnonzero((name[1:] != name[:-1]) | (part[1:] != part[:-1])) + 1
+            starts = np.concatenate([[0], new])
+            lengths = np.diff(np.append(starts, len(name)))
+            numbers = np.arange(len(name)) - np.repeat(starts, lengths)
+            first = (feed.dictionary[int(name[0])].as_py(), int(part[0]))
+            if first == last:  # goes on from the batch before
+                numbers[: lengths[0]] += at
+            last = (feed.dictionary[int(name[-1])].as_py(), int(part[-1]))
+            at = int(numbers[-1]) + 1
+            yield batch.append_column("_at", pa.array(numbers, pa.int64()))
+
+    return placed.mapInArrow(number, StructType([*placed.schema, StructField("_at", LongType())]))
+
+
+def with_log_place(log: DataFrame) -> DataFrame:
+    """The same columns for rows of a message log: its partition and offset."""
+    return log.withColumns(
+        {
+            "_time": F.lit(0).cast("bigint"),
+            "_feed": F.lit(""),
+            "_part": F.col("partition").cast("bigint"),
+            "_at": F.col("offset").cast("bigint"),
+        }
+    )
+
+
+def in_arrival_order(batch: DataFrame, base: int = 0) -> DataFrame:
+    """Rows with their place (``with_place``, ``with_log_place``) numbered ``base`` + 1, + 2, ... as ``seq``.
+
+    The rows of a file block, or of a log partition, know their order; how many come before a block is a running
+    sum over one row per block. A log with gaps in its offsets leaves gaps in ``seq``.
+    """
+    part = PLACE[:-1]
+    spans = batch.groupBy(*part).agg(F.min("_at").alias("_first"), (F.max("_at") - F.min("_at") + 1).alias("_span"))
+    earlier = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    before = spans.select(
+        *part, "_first", F.coalesce(F.sum("_span").over(earlier), F.lit(0)).alias("_before")
+    )
+    return batch.join(before, part).withColumn(
+        "seq", F.lit(base + 1) + F.col("_before") + F.col("_at") - F.col("_first")
+    ).drop(*PLACE, "_first", "_before")
+
+
+def arrived(batch: DataFrame) -> DataFrame:
+    """A micro-batch with ``seq``: its own, or one made of the rows' places."""
+    return in_arrival_order(batch) if set(PLACE) <= set(batch.columns) else batch
+
+
 def stream_readings(
     spark: SparkSession,
     path: str,
@@ -51,17 +124,20 @@ def stream_readings(
     files_per_trigger: int | None = None,
     arrival: bool = False,
 ) -> DataFrame:
-    """Typed readings with ``ts``; with ``arrival`` also ``seq``, for order-dependent work.
+    """Typed readings with ``ts``; with ``arrival`` also what order-dependent work needs.
 
-    Several files of one micro-batch are dealt to tasks by size, not by age. So with
-    ``arrival`` a micro-batch takes one file, the oldest that is left; asking for more is refused.
+    For one file per micro-batch (the default with ``arrival``) that is ``seq``, for the keyed
+    processors. Asked for more files, rows carry their place instead (``with_place``), for the functions
+    of ``ordered``, which number a micro-batch of any number of files.
     """
-    if arrival and files_per_trigger not in (None, 1):
-        raise ValueError("arrival order needs one file per micro-batch")
     files = files_per_trigger or (1 if arrival else FILES_PER_TRIGGER)
-    typed = parse_readings(stream_lines(spark, path, files))
-    numbered = with_arrival(typed) if arrival else typed
-    return numbered.withColumn("ts", event_time(F.col("timestamp"), unit))
+    lines = stream_lines(spark, path, files)
+    if arrival and files > 1:
+        typed = parse_readings(with_place(lines))
+    else:
+        typed = parse_readings(lines)
+        typed = with_arrival(typed) if arrival else typed
+    return typed.withColumn("ts", event_time(F.col("timestamp"), unit))
 
 
 def stream_messages(
