@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from thermoweave.functions.text import string_hash
-from thermoweave.operators import project, rolling, windows
+from thermoweave.operators import alerts, project, rolling, windows
 from thermoweave.plans.queries import registered
 from thermoweave.session import new_path
 from thermoweave.sources.readings import sensor_readings
 
 SF = f"{oracle.TESTDATA}/sf0.001"
-PYTHON = {"slide_apply"}
+PYTHON = {"slide_apply", "rise_alert"}
 # These write a file first and read it back.
 FILES = {"src_csv_table", "sink_text_roundtrip", "sink_csv_roundtrip"}
 
@@ -67,6 +67,17 @@ def test_sliding_windows_copy_panes_not_readings(spark):
     assert text.index("explode") < text.index("partial_count")  # printed root first
 
 
+def test_no_id_meets_whole_in_sessions_and_rise_alerts(spark):
+    events = sensor_readings(spark.read.parquet(f"{SF}/events.parquet"))
+    for df in (windows.session_count(events), alerts.rise_alert(events)):
+        text = plan(df)
+        assert set(re.findall(r"collect_list\((\w+)", text)) <= {"_tail", "struct"}  # the last rows of a block
+        for line in text.splitlines():
+            # Windows over all of an id see one row per block: they are ordered by it, or count them.
+            if " Window [" in line and "windowspecdefinition(id#" in line:
+                assert "_block" in line or "_b0" in line or "count(1)" in line, line
+
+
 def test_hash_stays_an_expression(spark, sample):
     assert "Python" not in plan(sample.select(string_hash("id", 10)))
 

@@ -176,3 +176,49 @@ def test_rise_alert_equals_the_state_machine(spark, block):
     got = alerts.rise_alert(df, "10 seconds", block).select("id", F.unix_seconds("alert_ts"))
     want = rise_by_hand([(s, seq, i, t) for seq, i, s, t in rows], 10)
     assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_steadily_rising_id_is_walked_in_blocks(spark, seed):
+    """No drop, or few, over many blocks; gaps under, at and over the interval; ties; one id per kind."""
+    rng = random.Random(seed)
+    rows, at = [], {"up": 0, "slow": 0, "saw": 0}
+    for seq in range(240):
+        sensor = rng.choice(["up", "up", "slow", "saw"])
+        at[sensor] += rng.choice([0, 1, 2, 5] if sensor != "slow" else [1, 10, 11])
+        rows.append((seq, sensor, at[sensor], float(seq if sensor != "saw" or seq % 17 else -seq)))
+    df = spark.createDataFrame(rows, "seq bigint, id string, s bigint, temperature double").select(
+        "seq", "id", F.timestamp_seconds("s").alias("ts"), "temperature"
+    )
+    want = rise_by_hand([(s, seq, i, t) for seq, i, s, t in rows], 10)
+    for block in (1, 9):
+        got = alerts.rise_alert(df, "10 seconds", block).select("id", F.unix_seconds("alert_ts"))
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_the_steps_of_a_block_equal_the_walk(spark):
+    """The table of a block against walking it from every due time."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randrange(1, 12)
+        at = sorted(rng.randrange(40) for _ in range(n))
+        drop = [rng.random() < rng.choice([0, 0.3]) for _ in at]
+        table = pa.table({"at": pa.array(at, pa.int64()), "seq": pa.array(range(n), pa.int64()), "drop": drop})
+        steps = alerts._Block(table, 7).steps()
+        for due in range(at[0] - 9, at[0] + 8):
+            here = due
+            for t, down in zip(at, drop, strict=True):
+                if down:
+                    here = None
+                elif here is None or t >= here:
+                    here = t + 7
+            left = next((x for f, x, *_ in steps if f >= due), due)
+            past = here is None or here <= at[-1]
+            assert (past and left <= at[-1]) or left == here, (at, drop, due, steps)
+
+
+@pytest.mark.parametrize("block", [1, 3, 1 << 16])
+def test_sessions_do_not_depend_on_blocks(skewed, block):
+    same(windows.session_count(skewed, "25 seconds", block), windows.session_count(skewed, "25 seconds"))

@@ -21,6 +21,8 @@ from thermoweave.operators.scan import (
     add_time_block,
     finished,
     in_block,
+    previous,
+    running,
     seq_block,
     with_halo,
     with_totals,
@@ -200,24 +202,25 @@ def window_sizes(readings: DataFrame, size: str = "15 seconds", slide: str = "5
     return slide_apply(readings.select("id", "ts"), count_elements, "cnt bigint", size, slide).drop("id")
 
 
-def session_count(readings: DataFrame, gap: str = "1 minute") -> DataFrame:
+SESSION_PANES = 1 << 16
+
+
+def session_count(readings: DataFrame, gap: str = "1 minute", block_panes: int = SESSION_PANES) -> DataFrame:
     """Sessions per id: readings at most ``gap`` apart; start, end (last + gap) and count.
 
     Readings in one interval as wide as the gap always share a session, so they are
-    combined first and an id holds at most (time span / gap) rows from there on, however
-    many readings it sent.
+    combined to panes first. Panes are scanned in blocks of time: which of them open a session, and how
+    many did before, needs one row per block of an id together.
     """
     wide = micros(gap)
     at = F.unix_micros("ts")
     panes = readings.groupBy("id", F.floor(at / F.lit(wide)).alias("_pane")).agg(
         F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n")
     )
-    by_time = Window.partitionBy("id").orderBy("_pane")
-    opens = F.coalesce(F.col("first") > F.lag("last").over(by_time) + F.lit(wide), F.lit(True))
-    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = panes.withColumn("_opens", opens.cast("int")).withColumn(
-        "_session", F.sum("_opens").over(so_far)
-    )
+    blocked = panes.withColumn(BLOCK, seq_block("_pane", block_panes))
+    seen = previous(blocked, "last", "_last", ["id"], ["_pane"], keep_block=True)
+    opens = F.coalesce(F.col("first") > F.col("_last") + F.lit(wide), F.lit(True)).cast("int")
+    numbered = running(seen, {"_session": ("sum", opens)}, ["id"], ["_pane"])
     return (
         numbered.groupBy("id", "_session")
         .agg(
