@@ -4,7 +4,8 @@ import pytest
 
 CLASHING = (
     "component_id string, n_lines string, score string, rate string, bucket string, h1 string, d string, "
-    "spans string, tokens string, ids string, w string, component string"
+    "spans string, tokens string, ids string, w string, component string, y string, __id string, __doc string, "
+    "__score string, half string, copies string, __range string, weight string, rank string"
 )
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + CLASHING
 LONG = " ".join(f"word{i % 977} of{i % 13}" for i in range(20_000))
@@ -15,7 +16,7 @@ def frame(spark):
     """Documents from (doc_id, text), with columns whose names clash with the operators' own."""
 
     def build(rows):
-        full = [(i, t, "en", "s", len(t or ""), *["x"] * 12) for i, t in rows]
+        full = [(i, t, "en", "s", len(t or ""), *["x"] * (CLASHING.count(",") + 1)) for i, t in rows]
         return spark.createDataFrame(full, DOCS)
 
     return build

@@ -54,6 +54,28 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """As ``written``, for results that replace each other: the one before goes once the next is there."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path = spark, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = new_path(self.spark, "round")
+        df.write.parquet(path)
+        self.drop()
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete the newest result; nothing may read it any more."""
+        if self.path:
+            context = self.spark.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self.path = None
+
+
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``function(batch as dict of Python lists) -> dict of columns``, once per Arrow batch.
 
@@ -91,6 +113,16 @@ def _arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(n, kind(t)) for n, t in (x.split() for x in schema.split(", "))])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with more underscores in front where ``df`` has such columns."""
+    out = []
+    for name in names:
+        while name in df.columns:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def ascii_lower(col):
     """A-Z lower-cased, every other character left alone."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

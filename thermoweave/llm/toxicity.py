@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from thermoweave.llm.common import map_batches
+from thermoweave.llm.common import map_batches, unused, written
 
 TRAINING_ROWS = 20_000  # labelled rows that the classifier is fitted on, those of the smallest hashes
 THRESHOLD = 0.7
@@ -312,9 +312,10 @@ def fit(
         .where(~held_out("__id"))
         .orderBy(F.xxhash64("__id"), "__id").limit(rows)
     )
-    taught = docs.join(known, F.col(doc_id) == F.col("__id")).select(
-        F.col(text).alias("text"), "y", (F.shiftright(F.xxhash64("__id"), 7) % 2 != 0).cast("int").alias("half")
-    )
+    # At most ``rows`` ids and labels are broadcast, so no text is shuffled; the texts they pick are kept once.
+    half = (F.shiftright(F.xxhash64("__id"), 7) % 2 != 0).cast("int").alias("half")
+    asked = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("text"))
+    taught = written(asked.join(F.broadcast(known), F.col("__doc") == F.col("__id")).select("text", "y", half))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -350,7 +351,7 @@ def fit(
         pairs = zip(rows_["text"], rows_["half"], strict=True)
         return {"x": [readers[half].evidence(t) for t, half in pairs], "y": rows_["y"]}
 
-    lessons = map_batches(taught, look, "x array<double>, y int").orderBy("x", "y").collect()
+    lessons = sorted(map_batches(taught, look, "x array<double>, y int").collect())
     slopes, base = _logistic(np.array([r[0] for r in lessons]), np.array([r[1] for r in lessons], float))
     return Model(trigrams, weights, tuple(slopes.tolist()), base)
 
@@ -368,27 +369,29 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
-def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` plus ``score``, from whole texts; a null text scores as an empty one."""
+def score_texts(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
+    """``docs`` plus ``score``, from whole texts; a null text scores as an empty one, repeated rows score alike.
+
+    A column of that name is replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("score")
+    kept = docs.drop(score)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(text)
             scores = pa.array([reader.score(t) for t in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, score])
 
-    schema = T.StructType([*kept.schema, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*kept.schema, T.StructField(score, T.DoubleType())])
     return kept.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more; all columns as they were."""
-    model = fit(docs, labels)
-    narrow = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    return score_texts(narrow, model).where(F.col("score") < threshold).select("row.*")
+    (score,) = unused(docs, "__score")
+    return score_texts(docs, fit(docs, labels), score=score).where(F.col(score) < threshold).select(docs.columns)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
