@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.llm.common import cut
+from thermoweave.llm.common import Rounds
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, kept: list[Rounds] | None = None) -> DataFrame:
     """(id, component) for every id of ``edges`` (a, b); component is the smallest id reachable.
 
     Alternates large-star and small-star rounds (Kiveris et al., 2014) until nothing
     changes: each round points the larger neighbours of a node, then the node itself, to
     its smallest neighbour. All steps are partial aggregates and equi-joins, so a hub's
     edges are split like any skewed join. Rows with a null end are ignored; self-loops
-    only name their node.
+    only name their node. Rounds are written to the shared folder, and the one before goes. What the result reads
+    is added to ``kept``, so that a caller who is done with it can drop it.
     """
-    edges = cut(edges.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b").distinct())
+    spark = edges.sparkSession
+    every, rounds = Rounds(spark), Rounds(spark)
+    if kept is not None:
+        kept += [every, rounds]
+    edges = every.put(edges.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b").distinct())
     links = edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
     before = None
     while True:
-        links = cut(_small_star(_large_star(links)))
+        links = rounds.put(_small_star(_large_star(links)))
         now = tuple(
             links.agg(
                 F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))

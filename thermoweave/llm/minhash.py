@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.llm.common import cut, map_batches, written
+from thermoweave.llm.common import Rounds, cut, map_batches, unused, written
 from thermoweave.llm.components import components
 
 BINS = 128
@@ -121,13 +121,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     """
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, right = None, np.empty(0, np.uint64)
+        last, right = (None, None), np.empty(0, np.uint64)
         for batch in batches:
             rows = batch.to_pydict()
             keep = []
             for a, b, left_text, right_text in zip(*(rows[k] for k in ("a", "b", "ta", "tb")), strict=True):
-                if b != last:
-                    last, right = b, shingle_set(right_text, words)
+                if (b, right_text) != last:  # an id may have several texts
+                    last, right = (b, right_text), shingle_set(right_text, words)
                 left = shingle_set(left_text, words)
                 shared = len(np.intersect1d(left, right, assume_unique=True))
                 if 100 * shared >= percent * (len(left) + len(right) - shared) and shared:
@@ -165,7 +165,7 @@ def near_duplicates(
     Rows without an id are compared with nothing (component null); texts without words have
     n_shingles 0 and stand alone; rows that repeat an id are one document.
     """
-    rows = cut(sketches(docs, words, text, doc_id))
+    rows = written(sketches(docs, words, text, doc_id))
     usable = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("print", "n_shingles").agg(F.min("doc_id").alias("leader"))
     member = cut(
@@ -180,7 +180,8 @@ def near_duplicates(
         F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")
     )
     shared = slots.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
-    open_slots = cut(slots.join(shared, "bucket").withColumn("component", F.col("id")))
+    slot_rounds = Rounds(docs.sparkSession)
+    open_slots = slot_rounds.put(slots.join(shared, "bucket").withColumn("component", F.col("id")))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = written(texts.join(open_slots.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     close = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
@@ -197,7 +198,10 @@ def near_duplicates(
         new = cut(confirmed(stars, texts, words, percent))
         tried, links = tried.union(stars), links.union(new)
         if not new.isEmpty():
-            open_slots = cut(_mixed(open_slots, components(links)))
+            found: list[Rounds] = []
+            open_slots = slot_rounds.put(_mixed(open_slots, components(links, found)))
+            for done in found:
+                done.drop()
         rows_left, pairs_left = _work_left(open_slots)
         slower = pairs_before is not None and 2 * pairs_left > pairs_before
         if new.isEmpty() or slower or pairs_left <= PAIRS_PER_ROW * rows_left:
@@ -318,15 +322,16 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     doc_id = options.get("doc_id", "doc_id")
     found = near_duplicates(docs, **options)
+    one, n = unused(docs, "__id", "__n")
     kept = (
         found.where("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.count("*").alias("__n"))
+        .groupBy(F.col("doc_id").alias(one))
+        .agg(F.count("*").alias(n))
     )
-    own = docs.join(kept, F.col(doc_id) == F.col("__id"))
+    own = docs.join(kept, F.col(doc_id) == F.col(one))
     return (
-        own.where("__n = 1").select(docs.columns)
-        .union(own.where("__n > 1").select(docs.columns).dropDuplicates([doc_id]))
+        own.where(F.col(n) == 1).select(docs.columns)
+        .union(own.where(F.col(n) > 1).select(docs.columns).dropDuplicates([doc_id]))
         .union(docs.where(F.col(doc_id).isNull()))
     )
 
