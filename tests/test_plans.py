@@ -14,7 +14,7 @@ from thermoweave.session import new_path
 from thermoweave.sources.readings import sensor_readings
 
 SF = f"{oracle.TESTDATA}/sf0.001"
-PYTHON = {"slide_apply", "rise_alert"}
+PYTHON = {"slide_apply", "rise_alert", "udaf_user_mean", "udaf_user_top2"}
 # These write a file first and read it back.
 FILES = {"src_csv_table", "sink_text_roundtrip", "sink_csv_roundtrip"}
 
@@ -78,6 +78,13 @@ def test_no_id_meets_whole_in_sessions_and_rise_alerts(spark):
                 assert "_block" in line or "_b0" in line or "count(1)" in line, line
 
 
+def test_user_aggregates_merge_partial_states(spark):
+    text = plan(registered()["udaf_user_top2"](spark, SF))
+    # Printed root first: finish, merge behind the one shuffle, partial states in front of it.
+    assert text.count("Exchange") == 1 and text.count("MapInArrow") == 2
+    assert text.index("FlatMapGroupsInArrow") < text.index("Exchange") < text.rindex("MapInArrow")
+
+
 def test_hash_stays_an_expression(spark, sample):
     assert "Python" not in plan(sample.select(string_hash("id", 10)))
 

@@ -174,6 +174,13 @@ SELECT seq, true AS added, id, n AS cnt FROM c
 UNION ALL SELECT seq, false, id, n - 1 FROM c WHERE n > 1""",
         ),
         "udaf_avg_temp": _r("SELECT id, round(avg(temperature), 6) AS avg_temp FROM r GROUP BY id"),
+        "udaf_user_mean": _r("SELECT id, round(avg(temperature), 6) AS avg_temp FROM r GROUP BY id"),
+        "udaf_user_top2": _r(
+            """
+SELECT id, rank, temperature FROM (
+  SELECT id, temperature, row_number() OVER (PARTITION BY id ORDER BY temperature DESC) AS rank FROM r)
+WHERE rank <= 2"""
+        ),
         "tumble_count": _r(
             """
 SELECT id, count(*) AS cnt, time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01')

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from thermoweave.functions.registry import register_hash, register_split
 from thermoweave.functions.text import string_hash
-from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, windows
+from thermoweave.operators import aggregate, alerts, eventtime, lateral, project, rolling, route, useragg, windows
 from thermoweave.operators.scan import BLOCK_ROWS
 from thermoweave.plans.tables import plain_times, readings, table
 from thermoweave.session import new_path
@@ -150,6 +150,10 @@ def _rolling_sum(source: DataFrame) -> DataFrame:
     )
 
 
+def _user(aggregate_: useragg.Aggregate) -> Callable[[DataFrame], DataFrame]:
+    return lambda source: useragg.user_aggregate(source.select("id", "temperature"), aggregate_)
+
+
 def _rounded(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Callable[[DataFrame], DataFrame]:
     return lambda source: operator(source).withColumns({c: F.round(c, 6) for c in columns})
 
@@ -221,6 +225,8 @@ def registered() -> dict[str, Query]:
         "min_by_final": _on_readings(aggregate.min_by_final),
         "changelog_count": _on_readings(rolling.changelog_count),
         "udaf_avg_temp": _on_readings(_rounded(aggregate.mean_temperature, "avg_temp")),
+        "udaf_user_mean": _on_readings(_rounded(_user(useragg.MeanTemperature()), "avg_temp")),
+        "udaf_user_top2": _on_readings(_user(useragg.HighestTemperatures(2))),
         # windows
         "tumble_count": _on_readings(windows.tumble_count, TUMBLE),
         "tumble_count_sql": _in_sql(windows.tumble_count_sql, "tumble_input", None, TUMBLE),

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from thermoweave.operators.eventtime import mark_late
 from thermoweave.operators.rolling import running_number
 from thermoweave.operators.route import THRESHOLD, side_outputs
+from thermoweave.operators.useragg import Aggregate, finished_states, merged_states, partial_states
+from thermoweave.sinks.keyed import KeyedTable
 from thermoweave.sinks.versions import Scalar
 from thermoweave.streaming.sources import arrived
 
@@ -92,3 +94,28 @@ def send_rows(shape: Callable[[DataFrame], DataFrame], send: Callable) -> BatchW
         shape(batch).foreachPartition(send)
 
     return write
+
+
+def user_aggregate_batches(
+    spark: SparkSession, aggregate: Aggregate, path: str, state_path: str, key: str = "id", kind: str = "string"
+) -> BatchWriter:
+    """Per micro-batch the result of a user's aggregate for every key it touched, over the whole stream.
+
+    States are carried in a ``KeyedTable``. A key with a third of the rows costs a few states per task.
+    """
+    table = KeyedTable(spark, state_path, f"`{key}` {kind}, state binary", key)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = partial_states(batch, key, aggregate).persist()
+        try:
+            keys = new.select(F.col(key).alias("_key")).distinct()
+            buckets = table.buckets_of(new)
+            old = table.read(before=batch_id, buckets=buckets).join(keys, same, "left_semi")
+            table.merge(merged_states(old.unionByName(new), key, aggregate), batch_id)
+            touched = table.read(before=batch_id + 1, buckets=buckets).join(keys, same, "left_semi")
+            _put(finished_states(touched, key, aggregate), path, batch_id)
+        finally:
+            new.unpersist()
+
+    return write
