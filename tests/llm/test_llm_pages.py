@@ -33,6 +33,23 @@ def test_links_of_an_article_are_its_text():
     assert main_text("<article><p><a>Only a link</a></p></article>") == "Only a link"
 
 
+def test_articles_are_evidence_only():
+    body = f"<div><h1>Title</h1><p>{FILL}</p><p>{FILL}</p></div>"
+    whole = f"Title {FILL.strip()} {FILL.strip()}"
+    assert main_text(f"{body}<article><h2>Teaser short</h2></article>") == whole
+    assert main_text(f"<article><h2>Teaser</h2><p>of some other story, in words that fill a line</p></article>{body}") == whole
+    assert main_text(f"<main><ul><li><a>Home</a><li><a>About</a></ul></main>{body}") == whole
+    assert main_text(f"<article>{body}</article><article><h2>Other</h2><p>{FILL[:70]}</p></article>") == whole
+    assert main_text(f"<article>{body}</article><article>{body}</article>") == f"{whole} {whole}"
+    assert main_text(f"<p>{FILL[:100]}</p><article>{body}</article><p>{FILL[:100]}</p>") == whole
+    assert main_text("<article><p>Short.</p><div class='ad'>Buy<p>it</p><p>now</p></div><p>End.</p></article>") == "Short. End."
+
+
+def test_menu_inside_main():
+    menu = "<nav><ul><li><a>Home</a><li><a>About</a></ul></nav>"
+    assert main_text(f"<main>{menu}<p>{FILL}</p><div class='related'><p>{FILL}</p></div><p>End</p></main>") == FILL.strip() + " End"
+
+
 def test_short_end_behind_frame_lines():
     frame = "<div class='ad'><p>Buy</p><p>this</p><p>now</p><p><a>here</a></p></div>"
     links = "".join(f"<p><a>{x}</a></p>" for x in "abcd")

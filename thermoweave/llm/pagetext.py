@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 WINDOW = 3  # lines of a line block
 SURGE = 80  # characters that a line block must hold for the text to begin
+MARKED = 2  # what a character in a marked article weighs
+SHARE = 0.5  # of the heaviest article's weight, or of that outside articles, that another needs to be text too
 
 # Elements without text of the page, elements that end a line, elements and roles of the
 # frame around an article, words of class and id names that tell the frame.
@@ -184,49 +186,71 @@ def page_lines(page: str) -> list[Line]:
     return lines
 
 
+def _runs(weights: list[int], begin: int, end: int) -> list[tuple[int, int, int]]:
+    """(first line, line after the last, highest block) of the runs between surge and dive in a stretch of lines."""
+    blocks = [sum(weights[i : min(i + WINDOW, end)]) for i in range(begin, end)]
+    runs, start = [], None
+    for i in range(begin, end + 1):
+        flat = i == end or blocks[i - begin] == 0
+        if start is None and not flat:
+            start = i
+        elif start is not None and flat:
+            heavy = [k for k in range(start, i) if weights[k]]
+            runs.append((heavy[0], heavy[-1] + 1, max(blocks[start - begin : i - begin])))
+            start = None
+    return runs
+
+
 def main_text(page: str | None) -> str:
     """The text between surge and dive points of the line-block distribution.
 
     The block at a line sums the weights of it and the next ``WINDOW`` - 1 lines. Text runs from
     a surge, where blocks come to hold ``SURGE`` characters, to a dive, where a block holds none;
     lines that lead up to a surge without a dive belong to it, and so do runs with only frame lines
-    between them and it. On pages that mark articles, all of the articles' lines are the text, links too, and
-    lines outside weigh nothing. Where nothing surges, the
-    heaviest run is the text. Frame lines (menus, adverts, comments and the like) weigh nothing and
-    are left out wherever they stand.
+    between them and it. Where nothing surges, the heaviest such runs are the text.
+
+    Marked articles are evidence, not the answer. Their lines weigh ``MARKED`` times their characters, those of links
+    too, and no block reaches over an article's end. The runs of one article count together, and so do those outside
+    articles; of these sums the largest wins, and others that reach ``SHARE`` of it stay as well. So a teaser beside
+    the body goes, and a body outside articles stays. Frame lines (menus, adverts, comments and the like) weigh
+    nothing and are left out wherever they stand.
     """
     lines = page_lines(page or "")
-    if any(x.article and x.weight and not x.frame for x in lines):
-        return " ".join(x.text for x in lines if x.article and not x.frame)
-    weights = [0 if x.frame else x.weight for x in lines]
-    blocks = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    runs: list[tuple[int, int, int]] = []  # first line, line after the last, highest block
-    begin = None
-    for i in range(len(lines) + 1):
-        flat = i == len(lines) or blocks[i] == 0
-        if begin is None and not flat:
-            begin = i
-        elif begin is not None and flat:
-            heavy = [k for k in range(begin, i) if weights[k]]
-            runs.append((heavy[0], heavy[-1] + 1, max(blocks[begin:i])))
-            begin = None
+    weights = [0 if x.frame else x.weight * (MARKED if x.article else 1) for x in lines]
     groups: list[list[tuple[int, int, int]]] = []  # runs with only frame lines between
-    for run in runs:
-        if groups and all(x.frame for x in lines[groups[-1][-1][1] : run[0]]):
-            groups[-1].append(run)
-        else:
-            groups.append([run])
-    surging = [g for g in groups if any(r[2] >= SURGE for r in g)] or [[r] for r in sorted(runs, key=lambda r: -r[2])[:1]]
+    begin = 0
+    for end in range(1, len(lines) + 1):
+        if end < len(lines) and lines[end].article == lines[begin].article:
+            continue
+        fresh = True
+        for run in _runs(weights, begin, end):
+            if not fresh and all(x.frame for x in lines[groups[-1][-1][1] : run[0]]):
+                groups[-1].append(run)
+            else:
+                groups.append([run])
+            fresh = False
+        begin = end
+    mass = [sum(weights[group[0][0] : group[-1][1]]) for group in groups]
+    surging = [k for k, group in enumerate(groups) if any(r[2] >= SURGE for r in group)]
+    surging = surging or sorted(range(len(groups)), key=lambda k: -mass[k])[:1]
+    sums: dict[int, int] = {}
+    for k in surging:
+        article = lines[groups[k][0][0]].article
+        sums[article] = sums.get(article, 0) + mass[k]
+    least = SHARE * max(sums.values(), default=0)
     kept = []
-    for group in surging:
-        kept += [x.text for x in lines[group[0][0] : group[-1][1]] if not x.frame]
+    for k in surging:
+        first, last = groups[k][0][0], groups[k][-1][1]
+        if sums[lines[first].article] >= least:
+            kept += [x.text for x in lines[first:last] if not x.frame]
     return " ".join(kept)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` plus ``text``, the main text of the whole page ("" if none), and ``n_chars``.
 
-    A null or empty page has no text. Columns named text or n_chars are replaced, others stay.
+    A null or empty page has no text. Columns named text or n_chars are replaced, others stay. Each row is
+    read by itself, so repeated rows give equal results; of equally heavy runs that do not surge the first is the text.
     """
 
     def run(batches):
