@@ -104,18 +104,63 @@ def test_base_spans_equal_plain_patterns():
         pii.base_spans(long)
 
 
+DISGUISED = [
+    ("call me at (636) 555-7248 now", [("phone", 11, 25)]), ("bob (at) mail (dot) com", [("email", 0, 23)]),
+    ("write to bob @ mail . com please", [("email", 9, 25)]), ("bob at a.b.c.d.e.f.g.com", [("email", 0, 24)]),
+    ("the host 192[.]0[.]2[.]1 was", [("ip", 9, 24)]), ("see 192 dot 0 dot 2 dot 1 again", [("ip", 4, 25)]),
+    ("card 4111.1111.1111.1111 ok", [("card", 5, 24)]), ("pay 4111/1111/1111/1111 now", [("card", 4, 23)]),
+    ("phone 06 12 34 56 78 today", [("phone", 6, 20)]),
+]
+PLAIN = ("on 2024-01-15 order 12345678", "he looked at home. Then", "a@b.example.com is known", "", "list 1 . 2 . 3 . 4 . 5 of")
+
+
 def test_trees_add_disguised_forms_and_leave_numbers(spark):
-    detector = pii.fit(table(spark, LARGER, "documents"))
-    found = lambda t: detector.added([t], [pii.base_spans(t)])[0]
-    for text, span in [
-        ("call me at (636) 555-7248 now", ("phone", 11, 25)), ("bob (at) mail (dot) com", ("email", 0, 23)),
-    ]:
-        assert found(text) == [span]
-    for text in ("on 2024-01-15 order 12345678", "he looked at home. Then", "a@b.example.com is known", ""):
-        assert found(text) == []
+    docs = table(spark, LARGER, "documents")
+    for detector in (pii.fit(docs), pii.fit(docs.limit(1)), pii.fit(docs.limit(0))):
+        for text, spans in [*DISGUISED, *((t, []) for t in PLAIN)]:
+            assert detector.added([text], [pii.base_spans(text)])[0] == spans, text
     assert pii.redacted("x a@b.c y", pii.base_spans("x a@b.c y")) == "x <email> y"
 
 
+def plain_numbers(text):
+    """Every stretch of digit groups, tried one by one."""
+    groups = [m.span() for m in re.finditer("[0-9]+", text)]
+    gaps = [text[a[1] : b[0]] for a, b in zip(groups, groups[1:])]
+    joined = [re.fullmatch(r"[ ./()_\u00a0-]{1,3}", g) is not None for g in gaps]
+    edge = [True] + [not j or re.search(r"\s", g) is not None for g, j in zip(gaps, joined)] + [True]
+    out = []
+    for i in range(len(groups)):
+        for k in range(i, len(groups)):
+            digits = re.sub("[^0-9]", "", text[groups[i][0] : groups[k][1]])
+            if all(joined[i:k]) and edge[i] and edge[k + 1] and 7 <= len(digits) <= 19:
+                out.append((groups[i][0], groups[k][1], digits))
+    return out
+
+
+def test_numbers_equal_plain_search():
+    chance = random.Random(8)
+    for _ in range(3000):
+        text = "".join(chance.choice([*"0123456789", "12", "345", " ", ".", "-", "/", "  ", " - ", "x", "....", "_"])
+                       for _ in range(chance.randint(0, 40)))
+        assert list(pii.numbers(text)) == plain_numbers(text), text
+    assert list(pii.numbers("(636) 555-7248"))[0][:2] == (0, 14)
+
+
+def test_added_spans_never_overlap(spark):
+    detector = pii.fit(table(spark, SF, "documents"))
+    chance = random.Random(9)
+    parts = [t for t, _ in DISGUISED] + ["a@b.co", "1.2.3.4", " at ", " . ", " ", "555 123 4567", "+1 (636) 555-7248"]
+    for _ in range(300):
+        text = "".join(chance.choice(parts) for _ in range(6))
+        base = pii.base_spans(text)
+        more = detector.added([text], [base])[0]
+        assert detector.added([text, text], [base, base]) == [more, more]
+        for n, (_, start, end) in enumerate(more):
+            assert all(e <= start or end <= s for _, s, e in base + more[n + 1 :]), text
+    for long in ("a at " * 40_000, "a dot " * 40_000, "(" * 60_000, "12-" * 40_000, "a" * 100_000 + " at b.co"):
+        pii.candidates(long)
+
+
 def test_odd_pii(frame, odd_rows):
     rows = [*odd_rows, (50, "x" * 70_000 + " a@b.co")]
     got = {r.doc_id: r for r in pii.pii_report(frame(rows)).collect()}
