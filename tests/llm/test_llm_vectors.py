@@ -47,6 +47,41 @@ def test_links_equal_brute_force_at_every_block_size(vectors, block):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute_links(rows, 0.98)
 
 
+def of_three_lengths():
+    """Vectors of 5, 6 and 12 components under shared labels, and some of a single component."""
+    rows = [(3 * i + k, v, lab) for k, size in enumerate((12, 6, 5)) for i, v, lab in clustered(3 + k, 120, size)]
+    return rows, [(1000 + i, [float(i - 5)], 0) for i in range(10)]
+
+
+def test_every_length_links_within_itself(vectors):
+    rows, single = of_three_lengths()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in egojoin.linked_vectors(vectors(rows + single), 0.98).collect()}
+    true = {}
+    for size in (12, 6, 5):
+        true |= brute_links([r for r in rows if len(r[1]) == size], 0.98)
+    true |= {1000 + i: (4, 1000) for i in range(5)} | {1005: (0, 1005)} | {1006 + i: (3, 1006) for i in range(4)}
+    assert got == true
+    few = [(1, [1.0, 2.0], 0), (2, [1.0, 2.0], 0), (3, [1.0, 2.0, 3.0], 0), (4, [1.0, 2.0, 3.0], 0), (5, [1.0, 2.0, 0.0], 0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in egojoin.linked_vectors(vectors(few)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
+def test_every_length_has_neighbours(vectors):
+    rows, single = of_three_lengths()
+    frame = vectors(rows + single)
+    got = {}
+    for r in multiindex.nearest(frame, frame.where("vec_id % 20 < 3 or vec_id >= 1000"), 3).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    hits = total = 0
+    for size in (12, 6, 5, 1):
+        own = [r for r in rows + single if len(r[1]) == size and r[1][0]]
+        asked = [i for i, _, _ in own if i % 20 < 3 or i >= 1000]
+        for q, true in exact(own, asked, 3).items():
+            assert len(got[q]) == 3 and {i for i, _ in got[q]} <= {r[0] for r in own}
+            hits, total = hits + len(set(true) & set(got[q])), total + 3
+    assert hits / total >= 0.9 and 1005 not in got
+
+
 ODD = [
     (1, None, 1), (2, [0.0, 0.0], 1), (3, [1.0, None], 1), (4, [float("nan"), 1.0], 1), (5, [float("inf"), 1.0], 1),
     (6, [1.0, 2.0], None), (7, [1.0, 2.0], 1), (8, [2.0, 4.0], 1), (8, [2.0, 4.0], 1), (9, [1.0, 2.0], 2),

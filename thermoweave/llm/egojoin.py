@@ -72,10 +72,13 @@ def linked_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id) per vector.
 
-    Two vectors link when their labels are equal and not null and their cosine, in double
+    Two vectors link when their labels are equal and not null, they are equally long and their cosine, in double
     precision, is at least ``min_cosine`` (above 0). Vectors that are null, zero, hold null or
-    non-finite components, lack a label, or are not as long as most of the table's vectors link with
-    nothing. Equal rows are one vector; a row without an id has no component.
+    non-finite components or lack a label link with nothing. Equal rows are one vector; a row without an id
+    has no component. Different vectors under one id are compared as vectors: ``n_links`` then counts pairs of rows.
+
+    Lengths from one power of two to the next are joined in one run, filled up with zeros, with the length as part
+    of the label; so a table of one length takes one run, any other at most one per power of two.
 
     Every pair within reach is compared: leaving one out takes proof. A dense group of any size costs
     no more than its intervals, as provably near intervals are counted without their vectors.
@@ -86,13 +89,36 @@ def linked_vectors(
         F.col(label).cast("string").alias("label"),
     )
     good = rows.where(usable("v") & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-    lengths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    size_class = F.floor(F.log2(F.size("v")))
+    classes = good.groupBy(size_class.alias("c")).agg(F.max(F.size("v")).alias("d")).orderBy("c").collect()
     alone = rows.select("vec_id").distinct().select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    if lengths is None:
+    if not classes:
         return alone
-    good = good.where(F.size("v") == lengths["d"])
+    links, edges = None, None
+    for c, longest in classes:
+        zeros = F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("v"))
+        own = good.where(size_class == c).select(
+            "vec_id", F.concat("v", zeros).alias("v"), F.concat_ws(":", F.size("v").cast("string"), "label").alias("label")
+        )
+        n, e = _linked(own, min_cosine, reach, block)
+        links, edges = (n, e) if links is None else (links.union(n), edges.union(e))
+    found = components(edges)
+    links = links.groupBy("vec_id").agg(F.sum("n").cast("long").alias("n"))
+    return (
+        alone.select("vec_id")
+        .join(links, "vec_id", "left")
+        .join(found.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+        .select(
+            "vec_id", F.coalesce("n", F.lit(0)).alias("n_links"),
+            F.coalesce("component", "vec_id").alias("component_id"),
+        )
+    )
+
+
+def _linked(good: DataFrame, min_cosine: float, reach: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Links (vec_id, n) and edges (a, b) that connect what links, among vectors (vec_id, v, label) of one length."""
     axes = principal_axes(good.select("v"))
     blocks = cut(_numbered(_blocks(good, axes, reach, block)))
     top, levels = _levels(blocks)
@@ -122,22 +148,12 @@ def linked_vectors(
         .join(firsts.withColumnsRenamed({"node": "b", "first": "y"}), ["level", "label", "b"])
         .select("x", "y")
     )
-    found = components(
+    edges = (
         compared.select(F.col("vec_id").alias("a"), F.col("other").alias("b"))
         .union(counted.select("vec_id", "other"))
         .union(bridges)
     )
-    links = compared.select("vec_id", "n").union(counted.select("vec_id", "n"))
-    links = links.groupBy("vec_id").agg(F.sum("n").cast("long").alias("n"))
-    return (
-        alone.select("vec_id")
-        .join(links, "vec_id", "left")
-        .join(found.withColumnRenamed("id", "vec_id"), "vec_id", "left")
-        .select(
-            "vec_id", F.coalesce("n", F.lit(0)).alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
-        )
-    )
+    return compared.select("vec_id", "n").union(counted.select("vec_id", "n")), edges
 
 
 BLOCK_SCHEMA = (

@@ -105,7 +105,8 @@ def nearest(
 
     Score is the Euclidean distance in double precision; nearest first, ties to the smaller id, all there
     are if fewer than ``k``. A query's own id is no neighbour of it. Vectors that are null, zero, hold
-    null or non-finite components, have no id, or are not as long as most take no part.
+    null or non-finite components or have no id take no part. Neighbours are as long as the query: each length
+    among the queries has an index of its own, so jobs grow with the number of lengths.
     ``queries`` has the columns of ``vectors`` and must be rows of it. Equal rows count once.
 
     Equal vectors are searched for once, and of each only the k + 1 smallest ids can matter.
@@ -115,10 +116,18 @@ def nearest(
     ).where(usable("v") & F.col("vec_id").isNotNull())
     good, asked = narrow(vectors), narrow(queries)
     schema = "query_id long, rank int, vec_id long, score double"
-    lengths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if lengths is None or lengths["d"] < 2:
-        return vectors.sparkSession.createDataFrame([], schema)
-    good, asked = (x.where(F.size("v") == lengths["d"]) for x in (good, asked))
+    found = None
+    for (length,) in asked.select(F.size("v").alias("d")).distinct().orderBy("d").collect():
+        own = [x.where(F.size("v") == length) for x in (good, asked)]
+        if length == 1:  # an index needs two halves
+            own = [x.withColumn("v", F.concat("v", F.array(F.lit(0.0)))) for x in own]
+        one = _nearest(*own, k, sample)
+        found = one if found is None else found.union(one)
+    return vectors.sparkSession.createDataFrame([], schema) if found is None else found
+
+
+def _nearest(good: DataFrame, asked: DataFrame, k: int, sample: int) -> DataFrame:
+    """The rows of ``nearest`` for vectors (vec_id, v) of one length."""
     order = Window.partitionBy("v").orderBy("vec_id")
     distinct = (
         good.distinct().withColumn("n", F.row_number().over(order)).where(f"n <= {k + 1}")
