@@ -81,6 +81,24 @@ def late_split(readings: DataFrame, **params) -> tuple[DataFrame, DataFrame]:
     return marked.filter(~late).drop("late", "wm_ms"), marked.filter(late).drop("late", "wm_ms")
 
 
+def window_elements(
+    readings: DataFrame, size: str, slide: str, delay: str, lateness: str, start_ms: int | None, block_rows: int
+) -> DataFrame:
+    """(seq, id, _start, fired): each record with every window that still takes it, and whether that has fired.
+
+    ``_start`` is in epoch micros; ``start_ms`` as in ``mark_late``.
+    """
+    wm = F.coalesce("wm_ms", F.lit(-(2**62)))
+    met = mark_late(
+        readings.select("seq", "id", "ts"), size, slide, delay, lateness, start_ms, block_rows
+    ).filter(~F.col("late"))
+    start = F.explode(_starts(F.unix_micros("ts"), micros(size), micros(slide)))
+    last_ms = ((F.col("_start") + F.lit(micros(size))) / 1000).cast("bigint") - 1
+    placed = met.select("seq", "id", "wm_ms", start.alias("_start")).withColumn("last_ms", last_ms)
+    kept = placed.filter(F.col("last_ms") + F.lit(micros(lateness) // 1000) > wm)
+    return kept.select("seq", "id", "_start", (F.col("last_ms") <= wm).alias("fired"))
+
+
 def lateness_firings(
     readings: DataFrame,
     size: str = "15 seconds",
@@ -95,16 +113,8 @@ def lateness_firings(
     then, and again for each element that comes later but not beyond ``lateness``. Output:
     (id, window_start_ms, firing, cnt); firing 0 is the regular one.
     """
-    wm = F.coalesce("wm_ms", F.lit(-(2**62)))
-    met = mark_late(
-        readings.select("seq", "id", "ts"), size, slide, delay, lateness, None, block_rows
-    ).filter(~F.col("late"))
-    start = F.explode(_starts(F.unix_micros("ts"), micros(size), micros(slide)))
-    placed = met.select("seq", "id", "wm_ms", start.alias("_start")).withColumn(
-        "last_ms", ((F.col("_start") + F.lit(micros(size))) / 1000).cast("bigint") - 1
-    )
-    kept = placed.filter(F.col("last_ms") + F.lit(micros(lateness) // 1000) > wm)
-    fired = F.col("last_ms") <= wm
+    kept = window_elements(readings, size, slide, delay, lateness, None, block_rows)
+    fired = F.col("fired")
     # A window's elements in time are one row of their own, in front of the late ones.
     regular = kept.filter(~fired).groupBy("id", "_start").agg(F.count("*").alias("n"))
     late = kept.filter(fired).select("id", "_start", "seq", F.lit(1).cast("bigint").alias("n"))

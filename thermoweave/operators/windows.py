@@ -159,12 +159,14 @@ def slide_apply(
     schema: str,
     size: str = "15 seconds",
     slide: str = "5 seconds",
+    ends: tuple[int, int] | None = None,
 ) -> DataFrame:
     """A user function over all elements of each (id, sliding window).
 
     ``function(id, window_start_ms, batches)`` gets the whole window as Arrow batches that pass
     by one at a time, in no given order, and yields batches of ``schema``; nothing is gathered
     for it. What can be merged from parts is cheaper through ``sliding``, which copies panes.
+    With ``ends`` only windows that end after the first and not after the second instant (epoch micros).
     Result: (id, window_start_ms, *schema).
     """
     width, step = micros(size), micros(slide)
@@ -172,6 +174,9 @@ def slide_apply(
     placed = readings.select(
         "*", F.explode(_starts(F.unix_micros("ts"), width, step)).alias("_start")
     )
+    if ends is not None:
+        end = F.col("_start") + F.lit(width)
+        placed = placed.where((end > ends[0]) & (end <= ends[1]))
 
     def whole_window(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
