@@ -87,7 +87,8 @@ def number_records(spark: SparkSession, path: str, state_path: str) -> BatchWrit
 def send_rows(shape: Callable[[DataFrame], DataFrame], send: Callable) -> BatchWriter:
     """Shape each micro-batch and hand its partitions to ``send`` (an iterator of rows).
 
-    For key-value stores and document indexes: ``send`` opens its client inside the task.
+    For key-value stores and document indexes: ``send`` opens its client inside the task. A task that
+    runs again repeats its rows; ``send_once`` tells them apart.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -96,6 +97,43 @@ def send_rows(shape: Callable[[DataFrame], DataFrame], send: Callable) -> BatchW
     return write
 
 
+TOKEN = "token"
+
+
+def send_once(
+    spark: SparkSession, shape: Callable[[DataFrame], DataFrame], send: Callable, state_path: str
+) -> BatchWriter:
+    """``send_rows`` for stores that keep one entry per key: each row has a ``token`` that never changes.
+
+    The shaped micro-batch is written to ``state_path`` first, and a token is (micro-batch, file, position) there. A task or
+    micro-batch that runs again sends the same rows under the same tokens, so a store that writes by token, or
+    leaves out tokens it has, holds each row once. A micro-batch marked as sent is not sent again. Staged
+    micro-batches go when a later one is done; null, repeated and empty rows are rows like others.
+    """
+    root = state_path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        jvm = spark.sparkContext._jvm
+        at = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join([root, *parts]))
+        files = at().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        name, sent = f"batch={batch_id}", at("sent", f"{batch_id:012d}")
+        if files.exists(sent):
+            return
+        if not files.exists(at("staged", name, "_SUCCESS")):
+            _put(shape(batch), f"{root}/staged", batch_id)
+        place = F.concat_ws("/", F.lit(str(batch_id)), "_metadata.file_name", "_metadata.row_index")
+        staged = spark.read.parquet(f"{root}/staged/{name}")
+        staged.select("*", place.alias(TOKEN)).foreachPartition(send)
+        files.mkdirs(at("sent"))
+        files.create(sent, True).close()
+        for folder, ended in (("staged", lambda n: int(n.split("=")[1])), ("sent", int)):
+            for old in files.listStatus(at(folder)):
+                if ended(old.getPath().getName()) < batch_id:
+                    files.delete(old.getPath(), True)
+
+    return write
+
+
 def user_aggregate_batches(
     spark: SparkSession, aggregate: Aggregate, path: str, state_path: str, key: str = "id", kind: str = "string"
 ) -> BatchWriter:
