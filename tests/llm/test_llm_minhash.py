@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from thermoweave.llm import components as graph
 from thermoweave.llm import minhash
 from thermoweave.llm.components import components
 
@@ -63,3 +64,23 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert set(got) == {*range(20, 61), 5, 7, 8, 9}
     assert {got[i] for i in range(20, 61)} == {5} and got[8] == 7 and got[9] == 9
+
+
+def test_small_graphs_need_no_rounds_and_larger_ones_agree(spark, monkeypatch):
+    chance = random.Random(5)
+    rows = [(chance.randrange(300), chance.randrange(300)) for _ in range(250)] + [(7, 7), (None, 3), (900, None)]
+    edges = spark.createDataFrame([*rows, *((k + 1000, k + 1001) for k in range(60))], "a long, b long")
+    monkeypatch.setattr(graph, "FEW_EDGES", 0)
+    by_rounds = {tuple(r) for r in components(edges).collect()}
+    monkeypatch.undo()
+    monkeypatch.setattr(graph, "_large_star", None)
+    small = components(edges).collect()
+    assert {tuple(r) for r in small} == by_rounds and len(small) == len(by_rounds)
+    assert components(edges.limit(0)).collect() == []
+
+
+def test_an_id_with_several_texts_joins_their_classes(frame, prose):
+    one, two = prose(1), prose(2)
+    rows = [(1, one), (2, two), (5, two), (5, one), (6, prose(3)), (7, edited(two, 1, 4))]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame(rows)).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (6, 6), (7, 1)}

@@ -208,12 +208,20 @@ def near_duplicates(
             break
         pairs_before = pairs_left
     second = _exact_rest(open_slots, texts, words, percent)
+    # Only an id that has several texts is in several classes; the classes of other ids follow their leaders.
+    several = member.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
+    several = member.join(several, "doc_id", "left_semi")
     merged = components(
-        links.union(second).union(member.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+        links.union(second).union(several.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+    )
+    placed = (
+        member.groupBy("doc_id").agg(F.min("leader").alias("leader"))
+        .join(merged.withColumnRenamed("id", "leader"), "leader", "left")
+        .select("doc_id", F.coalesce("component", "leader").alias("component"))
     )
     return (
         rows.select("doc_id", "n_shingles")
-        .join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .join(placed, "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
 
