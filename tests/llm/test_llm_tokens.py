@@ -2,10 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from thermoweave.llm import coder, packing, tokenfiles
-from thermoweave.llm.tokens import encoder
+from thermoweave.llm.tokens import Encoder, encoder
 
 ODD = list("abAB  \n\t .,'s!12é ñİßǅΣς_²") + [
     "<|endoftext|>", "́", " ", " ", "\x1c", "\x85", "\r", "don't", "   ", "🙂", "中文", "'LL", "　", "._-",
@@ -21,6 +22,17 @@ def test_ids_equal_the_library(name):
         assert ids == encode.library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_texts_equal_the_library_and_keep_a_chunk_once():
+    encode, chance = Encoder(public_tokenizers.path("word_bpe_49k.json")), random.Random(4)
+    encode("Word word WORD\nwOrd,  Word, ")
+    assert len(encode.heads) == 2
+    signs = list("aBcé ÄÖß\n  .,'!12_<|>\"&") + ["'S", "'re", "<|endoftext|>", "\xa0", "\xad", "\t", "µ", "word", "The"]
+    for _ in range(3000):
+        text = "".join(chance.choice(signs) for _ in range(chance.randint(0, 20)))
+        ids = np.frombuffer(encode(text), "<u4").tolist()
+        assert ids == encode.library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_coder_round_trip():
     chance = np.random.default_rng(0)
     blocks = [chance.integers(0, 49408, n) for n in (0, 1, 2, 5, 700, coder.BLOCK)]

@@ -19,6 +19,7 @@ SAFE_SPACE = regex.compile(r"(?<=\S) | (?=\S)")
 UNSAFE = regex.compile(r"\s \s|\s \Z|\A \s")
 # Characters whose lower case, normal form and class are the same for every library.
 PLAIN = re.compile(r"[\x21-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]*")
+PLAIN_TEXT = re.compile(r"[\n\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]*")
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")  # the same on plain characters
 MARK = b"\xff"  # stands for the end of a word; no UTF-8 text has this byte
@@ -28,7 +29,8 @@ class Encoder:
     """Ids of texts under a byte-level BPE file of the tokenizers library.
 
     Texts are cut at spaces that cannot lie inside a pre-token, each distinct chunk is
-    encoded once per worker, and the results are joined. Chunks with anything unusual
+    encoded once per worker, and the results are joined. Where a tokenizer lower-cases words, a plain
+    text is lower-cased as a whole, so a chunk is kept once for all its spellings. Chunks with anything unusual
     (special tokens, characters beyond Latin-1 in a normalising tokenizer) go through
     the tokenizers library itself; the others take the same merges by the ranks of the file.
     """
@@ -58,7 +60,8 @@ class Encoder:
             pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         else:
             pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        self.split = PIECES.findall if pattern == WORD_PATTERN else regex.compile(pattern).findall
+        self.whole = pattern == WORD_PATTERN  # its pieces are the same in lower case and hold no white space
+        self.split = PIECES.findall if self.whole else regex.compile(pattern).findall
         self.ranked = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.heads, self.tails = _Cache(self._chunk), _Cache(lambda c: self._chunk(" " + c))
         self.pieces = _Cache(self._piece)
@@ -67,6 +70,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if self.words:
+            if self.whole and PLAIN_TEXT.fullmatch(text) and not (self.hint in text and self.special.search(text)):
+                return b"".join(map(self.heads.__getitem__, text.lower().split()))
             return b"".join(map(self.heads.__getitem__, text.replace("\n", " ").split(" ")))
         if UNSAFE.search(text):
             return self._with_runs(text)
