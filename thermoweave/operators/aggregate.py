@@ -65,7 +65,7 @@ def running_word_count(docs: DataFrame, block_docs: int = 2048) -> DataFrame:
 
     A (word, block) holds at most the words of ``block_docs`` documents.
     """
-    kept = F.filter(F.split("text", r"\r?\n| ", -1), lambda w: F.length(w) > 0)
+    kept = F.array_remove(F.split("text", r"\r?\n| ", -1), "")
     placed = docs.select("doc_id", F.posexplode(kept).alias("pos", "word"))
     blocked = placed.withColumn(BLOCK, seq_block("doc_id", block_docs))
     return running(
