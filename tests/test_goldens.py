@@ -215,6 +215,13 @@ def test_running_words(spark):
     assert got == [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 1), ("b", 2)]
 
 
+def test_running_words_are_cut_without_a_function_per_word(spark):
+    docs = spark.createDataFrame([(1, " a  b\r\n\na "), (2, ""), (3, None), (4, "  ")], "doc_id bigint, text string")
+    counted = aggregate.running_word_count(docs)
+    assert rows(counted, "word", "pos", "n") == [("a", 0, 1), ("a", 2, 2), ("b", 1, 1)]
+    assert "lambda" not in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
 # ---------------------------------------------------------------- aggregates
 
 
