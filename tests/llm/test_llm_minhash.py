@@ -2,9 +2,11 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from thermoweave.llm import components as graph
 from thermoweave.llm import minhash
+from thermoweave.llm.common import SLICE_ROWS, sliced
 from thermoweave.llm.components import components
 
 
@@ -84,3 +86,14 @@ def test_an_id_with_several_texts_joins_their_classes(frame, prose):
     rows = [(1, one), (2, two), (5, two), (5, one), (6, prose(3)), (7, edited(two, 1, 4))]
     got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame(rows)).collect()}
     assert got == {(1, 1), (2, 1), (5, 1), (6, 6), (7, 1)}
+
+
+def test_a_worker_holds_slices_of_a_batch(frame, prose, monkeypatch):
+    asked = []
+    monkeypatch.setattr(minhash, "map_batches", lambda df, f, schema, rows=None: asked.append(rows))
+    minhash.sketches(frame([(1, prose(1))]), 5, "text", "doc_id")
+    assert asked == [SLICE_ROWS]
+    batch = pa.RecordBatch.from_pydict({"x": list(range(2 * SLICE_ROWS + 5))})
+    parts = list(sliced([batch, batch.slice(0, 0), batch.slice(7, 3)]))
+    assert [p.num_rows for p in parts] == [SLICE_ROWS, SLICE_ROWS, 5, 3]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(2 * SLICE_ROWS + 5), 7, 8, 9]

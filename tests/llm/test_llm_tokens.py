@@ -33,6 +33,17 @@ def test_plain_texts_equal_the_library_and_keep_a_chunk_once():
         assert ids == encode.library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_equal_the_library_without_kept_chunks(name):
+    encode, chance = Encoder(public_tokenizers.path(name)), random.Random(6)
+    signs = list("aBcé ÄÖß   \n  .,'!12_<|>\"&") + ["'S", "'re", "''ll", "'", "_'t", "'d's", "\xa1", "\xad", "µª", "word", "The "]
+    for k in range(300):
+        text = "".join(chance.choice(signs) for _ in range(400)).replace("<|endoftext|>", "") + " " * (k % 3)
+        ids = np.frombuffer(encode(text), "<u4").tolist()
+        assert ids == encode.library.encode(text, add_special_tokens=False).ids, text
+    assert not (encode.heads or encode.tails or encode.pieces)
+
+
 def test_coder_round_trip():
     chance = np.random.default_rng(0)
     blocks = [chance.integers(0, 49408, n) for n in (0, 1, 2, 5, 700, coder.BLOCK)]

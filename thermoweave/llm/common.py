@@ -76,15 +76,30 @@ class Rounds:
         self.path = None
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``function(batch as dict of Python lists) -> dict of columns``, once per Arrow batch.
+SLICE_ROWS = 256
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, at most ``rows`` at a time, without copies.
+
+    A batch holds 10,000 rows. A worker that makes Python objects of all of them needs several times the memory
+    of the batch, and keeps it for the tasks that follow.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # workers live on, also through stages without Python
+
+
+def map_batches(df: DataFrame, function, schema: str, rows: int | None = None) -> DataFrame:
+    """``function(batch as dict of Python lists) -> dict of columns``, once per Arrow batch, or per ``rows`` of it.
 
     The function must return every column of ``schema``; how many rows is up to it.
     """
     target = _arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, rows) if rows else batches:
             if batch.num_rows:
                 out = function(batch.to_pydict())
                 yield pa.RecordBatch.from_arrays(

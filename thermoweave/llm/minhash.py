@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoweave.llm.common import Rounds, cut, map_batches, unused, written
+from thermoweave.llm.common import SLICE_ROWS, Rounds, cut, map_batches, sliced, unused, written
 from thermoweave.llm.components import components
 
 BINS = 128
@@ -20,6 +20,7 @@ BANDS = BINS // ROWS_PER_BAND
 PAIRS_PER_ROW = 4  # pairs a slot for which the exact rest replaces further stars
 HUB_FAMILIES = 4  # hubs that a document meets in a turn after the first
 BLOCK_DOCUMENTS = 128
+BLOCK_PAIRS = 8  # pairs of blocks that a task holds as Python objects
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SHIFT = np.uint64(29)
 
@@ -110,7 +111,8 @@ def sketches(docs: DataFrame, words: int, text: str, doc_id: str) -> DataFrame:
         }
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(narrow, sketch, "doc_id long, n_shingles long, print binary, bands array<long>")
+    schema = "doc_id long, n_shingles long, print binary, bands array<long>"
+    return map_batches(narrow, sketch, schema, rows=SLICE_ROWS)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -122,7 +124,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, right = (None, None), np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = batch.to_pydict()
             keep = []
             for a, b, left_text, right_text in zip(*(rows[k] for k in ("a", "b", "ta", "tb")), strict=True):
@@ -277,7 +279,7 @@ def _exact_rest(slots: DataFrame, texts: DataFrame, words: int, percent: int) ->
         return {"id": rows["id"], "set": [shingle_set(t, words).tobytes() for t in rows["text"]]}
 
     wanted = texts.join(placed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = map_batches(wanted.select(F.col("doc_id").alias("id"), "text"), as_set, "id long, set binary")
+    sets = map_batches(wanted.select(F.col("doc_id").alias("id"), "text"), as_set, "id long, set binary", rows=SLICE_ROWS)
     blocks = placed.join(sets.dropDuplicates(["id"]), "id").groupBy("g", "o", "chunk").agg(
         *[F.collect_list(F.struct("id", "c", "set")).alias("rows")]
     )
@@ -300,7 +302,8 @@ def _exact_rest(slots: DataFrame, texts: DataFrame, words: int, percent: int) ->
             out += block_links(left_ids, left_cs, left, right_ids, right_cs, right, percent)
         return {"a": [p[0] for p in out], "b": [p[1] for p in out]}
 
-    return map_batches(pairs.select("ids", "cs", "sets", "ids2", "cs2", "sets2"), compare, "a long, b long")
+    pairs = pairs.select("ids", "cs", "sets", "ids2", "cs2", "sets2")
+    return map_batches(pairs, compare, "a long, b long", rows=BLOCK_PAIRS)
 
 
 def block_links(ids: list, cs: list, left: list, ids2: list, cs2: list, right: list, percent: int) -> list:

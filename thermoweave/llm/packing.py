@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermoweave.llm.common import cut, map_batches
+from thermoweave.llm.common import SLICE_ROWS, cut, map_batches
 from thermoweave.llm.tokens import encoder
 
 ROWS_PER_RANK_GROUP = 1 << 16
@@ -195,7 +195,8 @@ def pack(
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = cut(
         map_batches(
-            narrow, split, "doc_id long, tokens long, crcs array<long>, body binary, tail_length long, tail binary"
+            narrow, split, "doc_id long, tokens long, crcs array<long>, body binary, tail_length long, tail binary",
+            rows=SLICE_ROWS,
         )
     )
     total = rows.count()

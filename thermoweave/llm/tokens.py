@@ -9,6 +9,7 @@ import re
 import sys
 from array import array
 
+import numpy as np
 import regex
 
 # Chunks kept per Python worker. A chunk that finds no room is encoded again when it comes back.
@@ -23,16 +24,21 @@ PLAIN_TEXT = re.compile(r"[\n\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]*")
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")  # the same on plain characters
 MARK = b"\xff"  # stands for the end of a word; no UTF-8 text has this byte
+PLAIN_MARK = "\0"  # the same in plain texts, which do not hold it
+SHORT = 256  # characters; a shorter plain text is put together from kept chunks, a longer one encoded whole
+# What a plain character is to WORD_PATTERN: white space, a letter, a digit, a sign.
+KINDS = np.array([0 if c.isspace() else 1 if c.isalpha() else 2 if c.isdecimal() else 3 for c in map(chr, range(256))], np.uint8)
+CONTRACTION = re.compile(r"(?:(?<=[^\W_])|(?<=\s)|\A)'(?:[stmd]|re|ve|ll)")
 
 
 class Encoder:
     """Ids of texts under a byte-level BPE file of the tokenizers library.
 
-    Texts are cut at spaces that cannot lie inside a pre-token, each distinct chunk is
-    encoded once per worker, and the results are joined. Where a tokenizer lower-cases words, a plain
-    text is lower-cased as a whole, so a chunk is kept once for all its spellings. Chunks with anything unusual
-    (special tokens, characters beyond Latin-1 in a normalising tokenizer) go through
-    the tokenizers library itself; the others take the same merges by the ranks of the file.
+    Texts without special tokens take the merges by the ranks of the file in one call, where a tokenizer
+    lower-cases words only plain ones. Other texts are cut at spaces that cannot lie inside a pre-token, each
+    distinct chunk is encoded once per worker, and the results are joined; so are short plain texts, whose
+    chunks are kept once for all their spellings. Chunks with anything unusual (special tokens, characters
+    beyond Latin-1 in a normalising tokenizer) go through the tokenizers library itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -63,16 +69,26 @@ class Encoder:
         self.whole = pattern == WORD_PATTERN  # its pieces are the same in lower case and hold no white space
         self.split = PIECES.findall if self.whole else regex.compile(pattern).findall
         self.ranked = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        if self.whole:
+            mark = PLAIN_MARK.encode()
+            plain = {k.replace(MARK, mark): v for k, v in ranks.items() if mark not in k}
+            pattern = f"[^{PLAIN_MARK}]+{PLAIN_MARK}"
+            self.marked = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=plain, special_tokens={})
         self.heads, self.tails = _Cache(self._chunk), _Cache(lambda c: self._chunk(" " + c))
         self.pieces = _Cache(self._piece)
         self.hint = os.path.commonprefix(special)  # "" is in every chunk
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        special = self.hint in text and self.special.search(text)
         if self.words:
-            if self.whole and PLAIN_TEXT.fullmatch(text) and not (self.hint in text and self.special.search(text)):
-                return b"".join(map(self.heads.__getitem__, text.lower().split()))
+            if self.whole and not special and PLAIN_TEXT.fullmatch(text):
+                if len(text) < SHORT:
+                    return b"".join(map(self.heads.__getitem__, text.lower().split()))
+                return _bytes(self.marked.encode_ordinary(marked_pieces(text.lower())))
             return b"".join(map(self.heads.__getitem__, text.replace("\n", " ").split(" ")))
+        if not special:
+            return _bytes(self.ranked.encode_ordinary(text))
         if UNSAFE.search(text):
             return self._with_runs(text)
         parts = text.split(" ")
@@ -108,6 +124,24 @@ class Encoder:
         return _bytes(self.library.encode(chunk, add_special_tokens=False).ids)
 
 
+def marked_pieces(text: str) -> str:
+    """The pieces of ``WORD_PATTERN`` in a lower-case plain text, each with ``PLAIN_MARK`` behind it."""
+    chars = np.frombuffer(text.encode("latin-1"), np.uint8)
+    kinds = KINDS[chars]
+    ends = kinds == 2
+    ends[:-1] |= kinds[1:] != kinds[:-1]
+    ends[-1:] = True
+    if "'" in text:
+        for found in CONTRACTION.finditer(text):
+            ends[found.start() : found.end() - 1] = False
+            ends[found.end() - 1] = True
+    seen = kinds > 0
+    chars, ends = chars[seen], ends[seen]
+    out = np.zeros(len(chars) + np.count_nonzero(ends), np.uint8)
+    out[np.arange(len(chars)) + np.cumsum(ends) - ends] = chars
+    return out.tobytes().decode("latin-1")
+
+
 def _bytes(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from thermoweave.llm.common import map_batches, unused, written
+from thermoweave.llm.common import map_batches, sliced, unused, written
 
 TRAINING_ROWS = 20_000  # labelled rows that the classifier is fitted on, those of the smallest hashes
 THRESHOLD = 0.7
@@ -73,7 +73,7 @@ def corpus_trigrams(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**3, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             total += trigram_counts(batch.column(0).to_pylist())
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
@@ -319,7 +319,7 @@ def fit(
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in sliced(batches):
             for text_, y, half in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = {f for w in words_of(text_) for f in features(w)}
                 seen.update((f, 2 * half + y) for f in own)
@@ -379,7 +379,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", score: str =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             at = batch.schema.get_field_index(text)
             scores = pa.array([reader.score(t) for t in batch.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, score])
