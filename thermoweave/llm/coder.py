@@ -23,8 +23,11 @@ REFRESH = 256  # steps between two rebuilds of the class frequencies
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 WORD = np.uint64(32)
 BOTTOM = np.uint64(1 << 32)
-TRUST_BITS = np.uint64(20)
-TRUST_MASK = np.uint64((1 << 20) - 1)
+LOWER_WORD = np.uint64(0xFFFFFFFF)
+HASH_1, HASH_2 = np.uint32(2654435761), np.uint32(0x85EBCA6B)
+TRUST_1, TRUST_2 = np.uint32(2047), np.uint32(2047 << 16)
+FREQ_BITS = 11
+FREQ_MASK, FREQ_SHIFT = np.uint64((1 << FREQ_BITS) - 1), np.uint64(FREQ_BITS)
 # (first id, bits of a class) of the ranges of ids; low ids are the frequent ones.
 RANGES = [(0, 4), (512, 6), (4096, 8), (16384, 10)]
 MAX_ID = 1 << 17
@@ -37,35 +40,38 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             first.append(start)
             bits.append(b)
     of_id = np.repeat(np.arange(len(first)), 1 << np.array(bits))
-    return np.array(first, np.int64), np.array(bits, np.uint64), of_id
+    return np.array(first, np.uint32), np.array(bits, np.uint64), of_id.astype(np.uint8)
 
 
 CLASS_FIRST, CLASS_SIZE_BITS, CLASS_OF = _classes()
 CLASSES = len(CLASS_FIRST)
+PLACE_MASK = (1 << CLASS_SIZE_BITS.astype(np.uint32)) - np.uint32(1)  # classes begin at multiples of their size
 
 
 class Model:
     """Predictions and their trust for a number of blocks, longest first."""
 
     def __init__(self, lanes: int) -> None:
-        self.table_1 = np.zeros(lanes << SLOTS_1, np.int32)
-        self.table_2 = np.zeros(lanes << SLOTS_2, np.int32)
-        self.lane = np.arange(lanes)
+        # An entry is a predicted id and two bits of confidence.
+        self.table_1 = np.zeros(lanes << SLOTS_1, np.uint32)
+        self.table_2 = np.zeros(lanes << SLOTS_2, np.uint32)
+        self.lane = np.arange(lanes, dtype=np.uint32)
         self.lane_1, self.lane_2 = self.lane << SLOTS_1, self.lane << SLOTS_2
-        # Shares of order 2 (upper bits) and order 1 (lower bits), in 65,536ths.
-        self.trust = np.full(lanes * 32, 1 << 34 | 1 << 13, np.uint64)
+        # Shares of order 2 (upper half) and order 1 (lower half), in 65,536ths.
+        self.trust = np.full(lanes * 32, 1 << 30 | 1 << 13, np.uint32)
         self.lane_trust = self.lane * 32
         self.seen = np.full((lanes, CLASSES), 2, np.int64)
-        self.lane_class = self.lane * CLASSES
+        self.lane_class = self.lane.astype(np.int64) * CLASSES
+        self.lane_point = self.lane.astype(np.int64) << CLASS_BITS
         self.recent: list[np.ndarray] = []  # places in seen that came since the last refresh
-        self.last = np.zeros(lanes, np.int64)
-        self.hash = np.zeros(lanes, np.int64)
+        self.last = np.zeros(lanes, np.uint32)
+        self.hash = np.zeros(lanes, np.uint32)
         self.refresh(lanes)
 
     def refresh(self, n: int) -> None:
         """Class frequencies that sum to 2^CLASS_BITS, and the class of every point."""
         if self.recent:
-            came = np.bincount(np.concatenate(self.recent), minlength=self.seen.size)
+            came = np.bincount(np.concatenate(self.recent), minlength=self.seen.size + 1)[:-1]
             self.seen += 24 * came.reshape(self.seen.shape)
             self.recent.clear()
         seen = self.seen[:n]
@@ -73,38 +79,36 @@ class Model:
         spare = (1 << CLASS_BITS) - CLASSES
         share = 1 + seen * spare // total[:, None]
         share[np.arange(n), seen.argmax(axis=1)] += (1 << CLASS_BITS) - share.sum(axis=1)
-        self.freq = share.ravel().astype(np.uint64)
-        self.cum = (np.cumsum(share, axis=1) - share).ravel().astype(np.uint64)
+        # Where a class begins, and its frequency in the lower bits.
+        self.bounds = ((np.cumsum(share, axis=1) - share) << FREQ_BITS | share).ravel().astype(np.uint64)
         self.point = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), n), share.ravel())
         heavy = total > 1 << 15
         seen[heavy] -= seen[heavy] >> 1
 
     def predict(self, n: int) -> None:
         """The two predicted ids and the bounds of their events, for the first n blocks."""
-        last = self.last[:n]
-        self.at_1 = self.lane_1[:n] + ((last * 40503 >> 3) & ((1 << SLOTS_1) - 1))
-        self.at_2 = self.lane_2[:n] + (self.hash[:n] & ((1 << SLOTS_2) - 1))
+        self.at_1 = self.lane_1[:n] + ((self.last[:n] * HASH_1 >> 7) & ((1 << SLOTS_1) - 1))
+        self.at_2 = self.lane_2[:n] + (self.hash[:n] >> (32 - SLOTS_2))
         self.e1, self.e2 = self.table_1.take(self.at_1), self.table_2.take(self.at_2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.at_t = self.lane_trust[:n] + ((self.c2 << 3) + (self.c1 << 1) + (self.p1 == self.p2))
-        now = self.trust.take(self.at_t)
-        self.t2, self.t1 = now >> TRUST_BITS, now & TRUST_MASK
-        self.a = 1 + (self.t2 * 956 >> 16)
-        self.b = 1 + ((957 - self.a) * self.t1 >> 16)
-
-    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, places: np.ndarray) -> None:
-        """Take in the ids that came. hit_1: not hit_2, but the order-1 prediction; places of the classes used."""
-        e1, e2 = self.e1, self.e2
-        fresh = (ids << 2 | 1).astype(np.int32)
-        right_1 = self.p1 == ids
-        self.table_2[self.at_2] = np.where(hit_2, e2 + (self.c2 < 3), np.where(self.c2 > 1, e2 - 1, fresh))
-        self.table_1[self.at_1] = np.where(right_1, e1 + (self.c1 < 3), np.where(self.c1 > 1, e1 - 1, fresh))
-        t2 = self.t2 - (self.t2 >> 5) + hit_2 * np.uint64(2048)
-        t1 = np.where(hit_2, self.t1, self.t1 - (self.t1 >> 5) + hit_1 * np.uint64(2048))
-        self.trust[self.at_t] = t2 << TRUST_BITS | t1
+        self.shares = self.trust.take(self.at_t)
+        self.a = 1 + ((self.shares >> 16) * 956 >> 16)
+        self.ab = 1 + ((self.shares & 65535) * 956 >> 16) + self.a
+
+    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, right_1: np.ndarray, places: np.ndarray) -> None:
+        """Take in the ids that came. right_1: the order-1 prediction came; places of the classes used."""
+        fresh = ids << 2 | 1
+        new = np.where(self.c2 > 1, self.e2 - 1, fresh)
+        self.table_2[self.at_2] = np.where(hit_2, self.e2 + (self.c2 < 3), new)
+        new = np.where(self.c1 > 1, self.e1 - 1, fresh)
+        self.table_1[self.at_1] = np.where(right_1, self.e1 + (self.c1 < 3), new)
+        # Both shares lose a 32nd; the sum of the two, and so ab, stays below 2^EVENT_BITS.
+        kept = self.shares - ((self.shares >> 5) & 0x07FF07FF)
+        self.trust[self.at_t] = kept + np.where(hit_2, TRUST_2, right_1 * TRUST_1)
         self.recent.append(places)
-        self.hash[:n] = (self.last[:n] * 31321 + ids * 2654435761) >> 7
+        self.hash[:n] = self.last[:n] * HASH_2 + ids * HASH_1
         self.last[:n] = ids
 
 
@@ -135,109 +139,102 @@ def _longest_first(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     order, open_blocks = _longest_first([len(b) for b in blocks])
     lanes, steps = len(blocks), len(open_blocks)
-    grid = np.zeros((steps, lanes), np.int64)
+    grid = np.zeros((steps, lanes), np.uint32)
     for lane, i in enumerate(order):
+        if len(blocks[i]) and np.max(blocks[i]) >= MAX_ID:
+            raise ValueError(f"ids must be below {MAX_ID}")
         grid[: len(blocks[i]), lane] = blocks[i]
-    if grid.size and grid.max() >= MAX_ID:
-        raise ValueError(f"ids must be below {MAX_ID}")
     words = np.zeros((lanes, steps + 2), np.uint32)
     used = np.zeros(lanes, np.int64)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
     model = Model(lanes)
-    event, mask = np.uint64(EVENT_BITS), np.uint64(0xFFFFFFFF)
+    event, class_bits = np.uint64(EVENT_BITS), np.uint64(CLASS_BITS)
     for step, n in enumerate(open_blocks):
         if step and step % REFRESH == 0:
             model.refresh(n)
         ids = grid[step, :n]
         model.predict(n)
-        a, b = model.a, model.b
-        hit_2 = model.p2 == ids
-        hit_1 = (model.p1 == ids) & ~hit_2
+        hit_2, right_1 = model.p2 == ids, model.p1 == ids
+        miss = ~(hit_2 | right_1)
         r = span[:n] >> event
-        ab = a + b
-        begin = np.where(hit_2, 0, np.where(hit_1, a, ab))
-        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - ab))
-        lo, sp = low[:n] + r * begin, r * share
-        miss = np.flatnonzero(~(hit_2 | hit_1))
-        gone = ids.take(miss)
-        c = CLASS_OF.take(gone)
-        where = model.lane_class.take(miss) + c
-        r = sp.take(miss) >> np.uint64(CLASS_BITS)
-        begin = r * model.cum.take(where)
-        r = (r * model.freq.take(where)) >> CLASS_SIZE_BITS.take(c)
-        lo[miss] += begin + r * (gone - CLASS_FIRST.take(c)).astype(np.uint64)
-        sp[miss] = r
-        settled = (lo ^ (lo + sp)) < BOTTOM
-        out = np.flatnonzero(settled | (sp < BOTTOM))
-        if len(out):
-            x, s = lo[out], sp[out]
-            s = np.where(settled[out], s, (~x + np.uint64(1)) & mask)
-            words[out, used[out]] = (x >> WORD).astype(np.uint32)
-            used[out] += 1
-            lo[out], sp[out] = x << WORD, s << WORD
+        begin = np.where(miss, model.ab, np.where(hit_2, 0, model.a))
+        end = np.where(miss, 1 << EVENT_BITS, np.where(hit_2, model.a, model.ab))
+        lo, sp = low[:n] + r * begin, r * (end - begin)
+        c = CLASS_OF.take(ids)
+        where = model.lane_class[:n] + c
+        bounds, bits = model.bounds.take(where), CLASS_SIZE_BITS.take(c)
+        r = sp >> class_bits
+        begin = r * (bounds >> FREQ_SHIFT)
+        r, place = r * (bounds & FREQ_MASK) >> bits, ids & PLACE_MASK.take(c)
+        lo += (begin + r * place) * miss
+        sp = np.where(miss, r, sp)
+        out, x, s = _settled(lo, sp)
+        words[out, used[out]] = x >> WORD
+        used[out] += 1
+        lo[out], sp[out] = x << WORD, s << WORD
         low[:n], span[:n] = lo, sp
-        model.learn(n, ids, hit_2, hit_1, where)
+        model.learn(n, ids, hit_2, right_1, np.where(miss, where, model.seen.size))
     words[np.arange(lanes), used] = (low >> WORD).astype(np.uint32)
-    words[np.arange(lanes), used + 1] = (low & mask).astype(np.uint32)
+    words[np.arange(lanes), used + 1] = (low & LOWER_WORD).astype(np.uint32)
     out_bytes: list[bytes] = [b""] * lanes
     for lane, i in enumerate(order):
         out_bytes[i] = words[lane, : used[lane] + 2].astype("<u4").tobytes()
     return out_bytes
 
 
+def _settled(lo: np.ndarray, sp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks whose upper word is known or must be, their low ends, and their spans, cut where a carry could come."""
+    open_ = (lo ^ (lo + sp)) >= BOTTOM
+    out = np.flatnonzero(~open_ | (sp < BOTTOM))
+    x = lo.take(out)
+    return out, x, np.where(open_.take(out), (~x + np.uint64(1)) & LOWER_WORD, sp.take(out))
+
+
 def _decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     order, open_blocks = _longest_first(lengths)
     lanes, steps = len(payloads), len(open_blocks)
-    words = np.zeros((lanes, max(len(p) for p in payloads) // 4 + 1), np.uint64)
+    words = np.zeros((lanes, max(len(p) for p in payloads) // 4 + 1), np.uint32)
     for lane, i in enumerate(order):
         packed = np.frombuffer(payloads[i], "<u4")
         words[lane, : len(packed)] = packed
     used = np.full(lanes, 2, np.int64)
-    code = words[:, 0] << WORD | words[:, 1]
+    code = words[:, 0].astype(np.uint64) << WORD | words[:, 1]
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
     grid = np.zeros((steps, lanes), np.uint32)
     model = Model(lanes)
-    event, mask = np.uint64(EVENT_BITS), np.uint64(0xFFFFFFFF)
-    last_point, last_class_point = np.uint64((1 << EVENT_BITS) - 1), np.uint64((1 << CLASS_BITS) - 1)
+    event, class_bits = np.uint64(EVENT_BITS), np.uint64(CLASS_BITS)
+    last_point = np.uint64((1 << CLASS_BITS) - 1)
     for step, n in enumerate(open_blocks):
         if step and step % REFRESH == 0:
             model.refresh(n)
         model.predict(n)
-        a, b = model.a, model.b
         r = span[:n] >> event
-        value = np.minimum((code[:n] - low[:n]) // r, last_point)
-        hit_2 = value < a
-        ab = a + b
-        hit_1 = (value < ab) & ~hit_2
-        begin = np.where(hit_2, 0, np.where(hit_1, a, ab))
-        share = np.where(hit_2, a, np.where(hit_1, b, (1 << EVENT_BITS) - ab))
-        lo, sp = low[:n] + r * begin, r * share
-        ids = np.where(hit_2, model.p2, model.p1).astype(np.int64)
-        miss = np.flatnonzero(value >= ab)
-        s = sp.take(miss)
-        x = code.take(miss) - lo.take(miss)
-        r = s >> np.uint64(CLASS_BITS)
-        point = np.minimum(x // r, last_class_point).astype(np.int64)
-        c = model.point.take((miss << CLASS_BITS) + point).astype(np.int64)
-        where = model.lane_class.take(miss) + c
-        begin = r * model.cum.take(where)
-        bits = CLASS_SIZE_BITS.take(c)
-        r = (r * model.freq.take(where)) >> bits
-        place = np.minimum((x - begin) // r, (np.uint64(1) << bits) - np.uint64(1))
-        ids[miss] = CLASS_FIRST.take(c) + place.astype(np.int64)
-        lo[miss] += begin + r * place
-        sp[miss] = r
-        settled = (lo ^ (lo + sp)) < BOTTOM
-        out = np.flatnonzero(settled | (sp < BOTTOM))
-        if len(out):
-            x, s = lo[out], sp[out]
-            s = np.where(settled[out], s, (~x + np.uint64(1)) & mask)
-            code[out] = code[out] << WORD | words[out, np.minimum(used[out], words.shape[1] - 1)]
-            used[out] += 1
-            lo[out], sp[out] = x << WORD, s << WORD
+        x = code[:n] - low[:n]
+        to_a, to_ab = r * model.a, r * model.ab
+        hit_2, miss = x < to_a, x >= to_ab
+        begin = np.where(miss, to_ab, np.where(hit_2, 0, to_a))
+        end = np.where(miss, r << event, np.where(hit_2, to_a, to_ab))
+        lo, sp = low[:n] + begin, end - begin
+        x -= begin  # what follows counts for misses alone
+        r = sp >> class_bits
+        c = model.point.take(model.lane_point[:n] + np.minimum(x // r, last_point).view(np.int64))
+        where = model.lane_class[:n] + c
+        bounds, bits = model.bounds.take(where), CLASS_SIZE_BITS.take(c)
+        begin = r * (bounds >> FREQ_SHIFT)
+        r = r * (bounds & FREQ_MASK) >> bits
+        mask = PLACE_MASK.take(c)
+        place = np.minimum((x - begin) // r, mask)
+        lo += (begin + r * place) * miss
+        sp = np.where(miss, r, sp)
+        ids = np.where(miss, CLASS_FIRST.take(c) + place.astype(np.uint32), np.where(hit_2, model.p2, model.p1))
+        out, x, s = _settled(lo, sp)
+        at = used[out]
+        code[out] = code[out] << WORD | words[out, np.minimum(at, words.shape[1] - 1)]
+        used[out] = at + 1
+        lo[out], sp[out] = x << WORD, s << WORD
         low[:n], span[:n] = lo, sp
         grid[step, :n] = ids
-        model.learn(n, ids, hit_2, hit_1, where)
+        model.learn(n, ids, hit_2, model.p1 == ids, np.where(miss, where, model.seen.size))
     out_ids: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
     for lane, i in enumerate(order):
         out_ids[i] = grid[: lengths[i], lane].copy()
