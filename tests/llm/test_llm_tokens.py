@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from thermoweave.llm import coder, packing, tokenfiles
+from thermoweave.llm import coder, packing, tokenfiles, tokens
 from thermoweave.llm.tokens import Encoder, encoder
 
 ODD = list("abAB  \n\t .,'s!12é ñİßǅΣς_²") + [
@@ -44,6 +44,56 @@ def test_long_texts_equal_the_library_without_kept_chunks(name):
     assert not (encode.heads or encode.tails or encode.pieces)
 
 
+def test_texts_encoded_together_equal_the_library(monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER", 300)
+    chance = random.Random(8)
+    signs = list("aBcé ÄÖß   \n  .,'!12_<|>\"&") + ["'S", "'re", "''ll", "'", "_'t", "'d's", "\xa1", "µª", "word", "The "]
+    rows = ["".join(chance.choice(signs) for _ in range(chance.randint(0, 40))) for _ in range(1500)]
+    rows += ["", "", "'s", "5", "'ll 's", "<|endoftext|>", "a\0b", "\0", "Ünï\tcode", "中文", "word " * 200, "'t" * 10]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encode = encoder(name)
+        for _ in range(3):
+            chance.shuffle(rows)
+            for text, ids in zip(rows, encode.many(rows), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == encode.library.encode(text, add_special_tokens=False).ids, text
+        assert encode.many([]) == [] and encode.many(["", ""]) == [b"", b""]
+
+
+def test_texts_encoded_together_encode_a_shared_piece_once():
+    encode = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    plain, asked = encode.marked, []
+
+    class Marked:
+        def encode_to_numpy(self, text):
+            asked.extend(text.split("\0")[:-1])
+            return plain.encode_to_numpy(text)
+
+        def encode_ordinary(self, text):
+            asked.extend(text.split("\0")[:-1])
+            return plain.encode_ordinary(text)
+
+    encode.marked = Marked()
+    texts = ["Long words, more WORDS and the same words. " * 20, "the Same more and " * 30, "and the rest 7 7"] * 4
+    got = encode.many(texts)
+    assert sorted(asked) == sorted({"long", "words", "more", "and", "the", "same", "rest", ",", ".", "7"})
+    assert [np.frombuffer(x, "<u4").tolist() for x in got[:3]] == [
+        encode.library.encode(x, add_special_tokens=False).ids for x in texts[:3]
+    ]
+
+
+def test_coder_keeps_class_frequencies_whole():
+    chance = np.random.default_rng(1)
+    blocks = [chance.zipf(1.05 + k / 40, coder.BLOCK - 37 * k) % coder.MAX_ID for k in range(40)]
+    blocks += [np.tile(chance.integers(0, 49408, 300), 7)[: coder.BLOCK], np.arange(coder.BLOCK) * 64 % coder.MAX_ID]
+    payloads = coder.encode(blocks)
+    for one, back in zip(blocks, coder.decode(payloads, [len(b) for b in blocks]), strict=True):
+        assert one.tolist() == back.tolist()
+    assert len(payloads[40]) < 2 * len(blocks[40])  # later rounds are predicted
+    assert [coder.encode([b])[0] for b in blocks[-3:]] == payloads[-3:]  # alone as beside others
+    bad = bytes(chance.integers(0, 256, 40, np.uint8))  # a damaged payload gives some ids, and no error of its own
+    assert len(coder.decode([bad, payloads[0]], [900, len(blocks[0])])[0]) == 900
+
+
 def test_coder_round_trip():
     chance = np.random.default_rng(0)
     blocks = [chance.integers(0, 49408, n) for n in (0, 1, 2, 5, 700, coder.BLOCK)]

@@ -18,18 +18,19 @@ import numpy as np
 BLOCK = 2048
 LANES = 4096
 SLOTS_1, SLOTS_2 = 10, 11  # bits of the order-1 and order-2 tables
-EVENT_BITS = CLASS_BITS = 10
+EVENT_BITS, CLASS_BITS = 16, 10
 REFRESH = 256  # steps between two rebuilds of the class frequencies
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 WORD = np.uint64(32)
 BOTTOM = np.uint64(1 << 32)
 LOWER_WORD = np.uint64(0xFFFFFFFF)
 HASH_1, HASH_2 = np.uint32(2654435761), np.uint32(0x85EBCA6B)
-TRUST_1, TRUST_2 = np.uint32(2047), np.uint32(2047 << 16)
+TRUST_1, TRUST_2 = np.uint32(1911), np.uint32(1911 << 16)  # at most 1911 * 32 + 63 of 65,536 together
+WHOLE, ONE = np.uint32(1 << EVENT_BITS), np.uint8(1)
 FREQ_BITS = 11
-FREQ_MASK, FREQ_SHIFT = np.uint64((1 << FREQ_BITS) - 1), np.uint64(FREQ_BITS)
+FREQ_MASK, FREQ_SHIFT = np.uint32((1 << FREQ_BITS) - 1), np.uint32(FREQ_BITS)
 # (first id, bits of a class) of the ranges of ids; low ids are the frequent ones.
-RANGES = [(0, 4), (512, 6), (4096, 8), (16384, 10)]
+RANGES = [(0, 4), (512, 6), (4096, 8), (16384, 12)]
 MAX_ID = 1 << 17
 
 
@@ -49,67 +50,80 @@ PLACE_MASK = (1 << CLASS_SIZE_BITS.astype(np.uint32)) - np.uint32(1)  # classes
 
 
 class Model:
-    """Predictions and their trust for a number of blocks, longest first."""
+    """Predictions and their trust for a number of blocks, longest first.
 
-    def __init__(self, lanes: int) -> None:
+    Tables hold the same slot of all blocks side by side: blocks often look at the same slots, the frequent ones.
+    """
+
+    def __init__(self, lanes: int, decodes: bool) -> None:
         # An entry is a predicted id and two bits of confidence.
         self.table_1 = np.zeros(lanes << SLOTS_1, np.uint32)
         self.table_2 = np.zeros(lanes << SLOTS_2, np.uint32)
-        self.lane = np.arange(lanes, dtype=np.uint32)
-        self.lane_1, self.lane_2 = self.lane << SLOTS_1, self.lane << SLOTS_2
+        self.lanes, self.lane = lanes, np.arange(lanes)
+        self.at_1, self.at_2 = self.lane, self.lane  # the entries for the next id
         # Shares of order 2 (upper half) and order 1 (lower half), in 65,536ths.
-        self.trust = np.full(lanes * 32, 1 << 30 | 1 << 13, np.uint32)
-        self.lane_trust = self.lane * 32
-        self.seen = np.full((lanes, CLASSES), 2, np.int64)
-        self.lane_class = self.lane.astype(np.int64) * CLASSES
-        self.lane_point = self.lane.astype(np.int64) << CLASS_BITS
-        self.recent: list[np.ndarray] = []  # places in seen that came since the last refresh
-        self.last = np.zeros(lanes, np.uint32)
-        self.hash = np.zeros(lanes, np.uint32)
-        self.refresh(lanes)
-
-    def refresh(self, n: int) -> None:
+        self.trust = np.full(lanes * 32, 15296 << 16 | 7648, np.uint32)
+        self.seen = np.full((CLASSES, lanes), 2, np.int32)
+        self.lane_point = self.lane << CLASS_BITS
+        self.recent = np.zeros((REFRESH, lanes), np.uint8)  # 1 + classes that came since the last refresh, or 0
+        self.came = 0
+        self.before = np.zeros(lanes, np.uint32)
+        self.decodes = decodes
+        self.refresh()
+
+    def refresh(self) -> None:
         """Class frequencies that sum to 2^CLASS_BITS, and the class of every point."""
-        if self.recent:
-            came = np.bincount(np.concatenate(self.recent), minlength=self.seen.size + 1)[:-1]
-            self.seen += 24 * came.reshape(self.seen.shape)
-            self.recent.clear()
-        seen = self.seen[:n]
-        total = seen.sum(axis=1, dtype=np.int64)
+        seen = self.seen
+        if self.came:
+            places = self.recent[: self.came] * np.intp(self.lanes) + self.lane
+            came = np.bincount(places.ravel(), minlength=seen.size + self.lanes)[self.lanes :]
+            seen += came.astype(np.int32).reshape(seen.shape) * np.int32(24)
+            self.came = 0
+        total = seen.sum(axis=0)
         spare = (1 << CLASS_BITS) - CLASSES
-        share = 1 + seen * spare // total[:, None]
-        share[np.arange(n), seen.argmax(axis=1)] += (1 << CLASS_BITS) - share.sum(axis=1)
+        share = (seen * (spare / total)).astype(np.uint32) + np.uint32(1)
+        share[seen.argmax(axis=0), self.lane] += ((1 << CLASS_BITS) - share.sum(axis=0)).astype(np.uint32)
         # Where a class begins, and its frequency in the lower bits.
-        self.bounds = ((np.cumsum(share, axis=1) - share) << FREQ_BITS | share).ravel().astype(np.uint64)
-        self.point = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), n), share.ravel())
+        begin = np.cumsum(share, axis=0, dtype=np.uint32) - share
+        self.bounds = (begin << FREQ_SHIFT | share).ravel()
+        if self.decodes:
+            self.point = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), self.lanes), share.T.ravel())
         heavy = total > 1 << 15
-        seen[heavy] -= seen[heavy] >> 1
+        if heavy.any():
+            seen[:, heavy] -= seen[:, heavy] >> 1
 
     def predict(self, n: int) -> None:
         """The two predicted ids and the bounds of their events, for the first n blocks."""
-        self.at_1 = self.lane_1[:n] + ((self.last[:n] * HASH_1 >> 7) & ((1 << SLOTS_1) - 1))
-        self.at_2 = self.lane_2[:n] + (self.hash[:n] >> (32 - SLOTS_2))
+        self.at_1, self.at_2 = self.at_1[:n], self.at_2[:n]
         self.e1, self.e2 = self.table_1.take(self.at_1), self.table_2.take(self.at_2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
-        self.at_t = self.lane_trust[:n] + ((self.c2 << 3) + (self.c1 << 1) + (self.p1 == self.p2))
+        self.at_t = self.at((self.c2 << 3) + (self.c1 << 1) + (self.p1 == self.p2))
         self.shares = self.trust.take(self.at_t)
-        self.a = 1 + ((self.shares >> 16) * 956 >> 16)
-        self.ab = 1 + ((self.shares & 65535) * 956 >> 16) + self.a
+        self.a = self.shares >> 16
+        self.ab = self.a + (self.shares & 65535)
 
-    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, right_1: np.ndarray, places: np.ndarray) -> None:
-        """Take in the ids that came. right_1: the order-1 prediction came; places of the classes used."""
+    def at(self, slots: np.ndarray) -> np.ndarray:
+        """Where these slots of the first blocks are in a table."""
+        at = slots.astype(np.intp)
+        at *= self.lanes
+        at += self.lane[: len(at)]
+        return at
+
+    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, right_1: np.ndarray, classes: np.ndarray) -> None:
+        """Take in the ids that came. right_1: the order-1 prediction came, hit_1: as the event; classes: 1 + those used, or 0."""
         fresh = ids << 2 | 1
-        new = np.where(self.c2 > 1, self.e2 - 1, fresh)
-        self.table_2[self.at_2] = np.where(hit_2, self.e2 + (self.c2 < 3), new)
-        new = np.where(self.c1 > 1, self.e1 - 1, fresh)
-        self.table_1[self.at_1] = np.where(right_1, self.e1 + (self.c1 < 3), new)
-        # Both shares lose a 32nd; the sum of the two, and so ab, stays below 2^EVENT_BITS.
+        self.table_2[self.at_2] = fresh + hit_2 * np.minimum(self.c2, 2)
+        self.table_1[self.at_1] = fresh + right_1 * np.minimum(self.c1, 2)
+        # Both shares lose a 32nd.
         kept = self.shares - ((self.shares >> 5) & 0x07FF07FF)
-        self.trust[self.at_t] = kept + np.where(hit_2, TRUST_2, right_1 * TRUST_1)
-        self.recent.append(places)
-        self.hash[:n] = self.last[:n] * HASH_2 + ids * HASH_1
-        self.last[:n] = ids
+        self.trust[self.at_t] = kept + (hit_2 * TRUST_2 + hit_1 * TRUST_1)
+        self.recent[self.came, :n] = classes
+        self.came += 1
+        mixed = ids * HASH_1
+        self.at_1 = self.at(mixed >> (32 - SLOTS_1))
+        self.at_2 = self.at(self.before[:n] + mixed >> (32 - SLOTS_2))
+        self.before = ids * HASH_2
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -144,97 +158,107 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         if len(blocks[i]) and np.max(blocks[i]) >= MAX_ID:
             raise ValueError(f"ids must be below {MAX_ID}")
         grid[: len(blocks[i]), lane] = blocks[i]
-    words = np.zeros((lanes, steps + 2), np.uint32)
-    used = np.zeros(lanes, np.int64)
+    words = np.zeros((steps + 2) * lanes, np.uint32)  # the same word of all blocks side by side
+    free = np.arange(lanes)  # where the next word of a block goes
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
-    model = Model(lanes)
+    model = Model(lanes, decodes=False)
     event, class_bits = np.uint64(EVENT_BITS), np.uint64(CLASS_BITS)
     for step, n in enumerate(open_blocks):
         if step and step % REFRESH == 0:
-            model.refresh(n)
+            model.refresh()
         ids = grid[step, :n]
         model.predict(n)
         hit_2, right_1 = model.p2 == ids, model.p1 == ids
-        miss = ~(hit_2 | right_1)
-        r = span[:n] >> event
-        begin = np.where(miss, model.ab, np.where(hit_2, 0, model.a))
-        end = np.where(miss, 1 << EVENT_BITS, np.where(hit_2, model.a, model.ab))
-        lo, sp = low[:n] + r * begin, r * (end - begin)
+        hit_1, miss = right_1 & ~hit_2, ~(hit_2 | right_1)
+        lo, sp = low[:n], span[:n]
+        r = sp >> event
+        begin, width = r * (hit_1 * model.a), r * np.where(hit_2, model.a, model.ab - model.a)
         c = CLASS_OF.take(ids)
-        where = model.lane_class[:n] + c
-        bounds, bits = model.bounds.take(where), CLASS_SIZE_BITS.take(c)
-        r = sp >> class_bits
-        begin = r * (bounds >> FREQ_SHIFT)
-        r, place = r * (bounds & FREQ_MASK) >> bits, ids & PLACE_MASK.take(c)
-        lo += (begin + r * place) * miss
-        sp = np.where(miss, r, sp)
-        out, x, s = _settled(lo, sp)
-        words[out, used[out]] = x >> WORD
-        used[out] += 1
-        lo[out], sp[out] = x << WORD, s << WORD
-        low[:n], span[:n] = lo, sp
-        model.learn(n, ids, hit_2, right_1, np.where(miss, where, model.seen.size))
-    words[np.arange(lanes), used] = (low >> WORD).astype(np.uint32)
-    words[np.arange(lanes), used + 1] = (low & LOWER_WORD).astype(np.uint32)
+        place = c.astype(np.intp)
+        bounds = model.bounds.take(model.at(place))
+        unit = r * (WHOLE - model.ab) >> class_bits
+        r *= model.ab
+        r += unit * (bounds >> FREQ_SHIFT)
+        unit *= bounds & FREQ_MASK
+        unit >>= CLASS_SIZE_BITS.take(place)
+        r += unit * (ids & PLACE_MASK.take(place))
+        lo += np.where(miss, r, begin)
+        sp[:] = np.where(miss, unit, width)
+        out, x = _settled(lo, sp)
+        to = free.take(out)
+        words[to] = (x >> WORD).astype(np.uint32)
+        free[out] = to + lanes
+        model.learn(n, ids, hit_2, hit_1, right_1, (c + ONE) * miss)
+    words[free], words[free + lanes] = low >> WORD, low & LOWER_WORD
+    used = free // lanes + 2
+    rows = words.reshape(-1, lanes)[: used.max()].T.astype("<u4", order="C")
     out_bytes: list[bytes] = [b""] * lanes
     for lane, i in enumerate(order):
-        out_bytes[i] = words[lane, : used[lane] + 2].astype("<u4").tobytes()
+        out_bytes[i] = rows[lane, : used[lane]].tobytes()
     return out_bytes
 
 
-def _settled(lo: np.ndarray, sp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks whose upper word is known or must be, their low ends, and their spans, cut where a carry could come."""
-    open_ = (lo ^ (lo + sp)) >= BOTTOM
-    out = np.flatnonzero(~open_ | (sp < BOTTOM))
+def _settled(lo: np.ndarray, sp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks whose upper word is known or must be, and their low ends.
+
+    Their low ends move up by a word, so do their spans, cut where a carry could come.
+    """
+    out = np.flatnonzero(sp < BOTTOM)
     x = lo.take(out)
-    return out, x, np.where(open_.take(out), (~x + np.uint64(1)) & LOWER_WORD, sp.take(out))
+    lo[out] = x << WORD
+    sp[out] = np.minimum(sp.take(out), BOTTOM - (x & LOWER_WORD)) << WORD
+    return out, x
 
 
 def _decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     order, open_blocks = _longest_first(lengths)
     lanes, steps = len(payloads), len(open_blocks)
-    words = np.zeros((lanes, max(len(p) for p in payloads) // 4 + 1), np.uint32)
+    rows = np.zeros((lanes, max(2, max(len(p) for p in payloads) // 4) + 1), np.uint32)
     for lane, i in enumerate(order):
         packed = np.frombuffer(payloads[i], "<u4")
-        words[lane, : len(packed)] = packed
-    used = np.full(lanes, 2, np.int64)
-    code = words[:, 0].astype(np.uint64) << WORD | words[:, 1]
+        rows[lane, : len(packed)] = packed
+    words = rows.T.ravel()  # the same word of all blocks side by side
+    free = np.arange(2 * lanes, 3 * lanes)  # where the next word of a block is
+    code = rows[:, 0].astype(np.uint64) << WORD | rows[:, 1]  # less the low end
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
     grid = np.zeros((steps, lanes), np.uint32)
-    model = Model(lanes)
+    model = Model(lanes, decodes=True)
     event, class_bits = np.uint64(EVENT_BITS), np.uint64(CLASS_BITS)
     last_point = np.uint64((1 << CLASS_BITS) - 1)
     for step, n in enumerate(open_blocks):
         if step and step % REFRESH == 0:
-            model.refresh(n)
+            model.refresh()
         model.predict(n)
-        r = span[:n] >> event
-        x = code[:n] - low[:n]
+        lo, sp, x = low[:n], span[:n], code[:n]
+        r = sp >> event
         to_a, to_ab = r * model.a, r * model.ab
         hit_2, miss = x < to_a, x >= to_ab
-        begin = np.where(miss, to_ab, np.where(hit_2, 0, to_a))
-        end = np.where(miss, r << event, np.where(hit_2, to_a, to_ab))
-        lo, sp = low[:n] + begin, end - begin
-        x -= begin  # what follows counts for misses alone
-        r = sp >> class_bits
-        c = model.point.take(model.lane_point[:n] + np.minimum(x // r, last_point).view(np.int64))
-        where = model.lane_class[:n] + c
-        bounds, bits = model.bounds.take(where), CLASS_SIZE_BITS.take(c)
-        begin = r * (bounds >> FREQ_SHIFT)
-        r = r * (bounds & FREQ_MASK) >> bits
-        mask = PLACE_MASK.take(c)
-        place = np.minimum((x - begin) // r, mask)
-        lo += (begin + r * place) * miss
-        sp = np.where(miss, r, sp)
-        ids = np.where(miss, CLASS_FIRST.take(c) + place.astype(np.uint32), np.where(hit_2, model.p2, model.p1))
-        out, x, s = _settled(lo, sp)
-        at = used[out]
-        code[out] = code[out] << WORD | words[out, np.minimum(at, words.shape[1] - 1)]
-        used[out] = at + 1
-        lo[out], sp[out] = x << WORD, s << WORD
-        low[:n], span[:n] = lo, sp
+        hit_1 = ~(hit_2 | miss)
+        begin, width = hit_1 * to_a, np.where(hit_2, to_a, to_ab - to_a)
+        unit = (r << event) - to_ab >> class_bits  # from here to the place counts for misses alone
+        rest = x - to_ab
+        c = model.point.take(model.lane_point[:n] + np.minimum(rest // unit, last_point).view(np.int64))
+        place = c.astype(np.intp)
+        bounds, first_id, mask = model.bounds.take(model.at(place)), CLASS_FIRST.take(place), PLACE_MASK.take(place)
+        below = unit * (bounds >> FREQ_SHIFT)
+        unit *= bounds & FREQ_MASK
+        unit >>= CLASS_SIZE_BITS.take(place)
+        rest -= below
+        rest //= unit
+        place = np.minimum(rest, mask, out=rest)
+        below += to_ab
+        below += unit * place
+        begin = np.where(miss, below, begin)
+        lo += begin
+        x -= begin
+        sp[:] = np.where(miss, unit, width)
+        ids = np.where(miss, first_id + place.astype(np.uint32), np.where(hit_2, model.p2, model.p1))
+        out, _ = _settled(lo, sp)
+        at = free.take(out)
+        x[out] = x.take(out) << WORD | words.take(at, mode="clip").astype(np.uint64)
+        free[out] = at + lanes
         grid[step, :n] = ids
-        model.learn(n, ids, hit_2, model.p1 == ids, np.where(miss, where, model.seen.size))
+        model.learn(n, ids, hit_2, hit_1, model.p1 == ids, (c + ONE) * miss)
     out_ids: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
     for lane, i in enumerate(order):
         out_ids[i] = grid[: lengths[i], lane].copy()

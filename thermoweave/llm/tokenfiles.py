@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thermoweave.llm import coder
-from thermoweave.llm.common import map_batches
+from thermoweave.llm.common import map_batches, sliced
 from thermoweave.llm.tokens import encoder
 from thermoweave.session import new_path
 
+TEXTS = 4096  # encoded together
 FILE_SCHEMA = (
     "shard long, block long, start long, docs array<long>, ordinals array<long>, "
     "lengths array<long>, checksum long, payload binary"
@@ -40,12 +41,13 @@ def write_tokens(
     """
 
     def shard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        encode, end = encoder(tokenizer).many, end_id.to_bytes(4, "little")
         number, rows, start, ordinal = TaskContext.get().partitionId(), _Rows(), 0, 0
         held, parts = b"", []  # ids of the open block and the documents they belong to
-        for batch in batches:
-            for doc, text_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, done = encode(text_ or "") + end, 0
+        for batch in sliced(batches, TEXTS):
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
+                ids, done = ids + end, 0
                 while done < len(ids):
                     part = min(len(ids) - done, 4 * coder.BLOCK - len(held))
                     held += ids[done : done + part]

@@ -10,6 +10,8 @@ import sys
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Chunks kept per Python worker. A chunk that finds no room is encoded again when it comes back.
@@ -28,7 +30,12 @@ PLAIN_MARK = "\0"  # the same in plain texts, which do not hold it
 SHORT = 256  # characters; a shorter plain text is put together from kept chunks, a longer one encoded whole
 # What a plain character is to WORD_PATTERN: white space, a letter, a digit, a sign.
 KINDS = np.array([0 if c.isspace() else 1 if c.isalpha() else 2 if c.isdecimal() else 3 for c in map(chr, range(256))], np.uint8)
-CONTRACTION = re.compile(r"(?:(?<=[^\W_])|(?<=\s)|\A)'(?:[stmd]|re|ve|ll)")
+KINDS[0] = 2  # PLAIN_MARK is a piece of its own, as a digit is
+SPACES = np.flatnonzero(KINDS == 0).astype(np.uint8).tobytes()
+LOWER = bytes(ord(c.lower()) if PLAIN.fullmatch(c) else ord(c) for c in map(chr, range(256)))
+CONTRACTION = re.compile(r"'(?:(?<=[^\W_]')|(?<=[\s\0]')|(?<=\A'))(?:[stmd]|re|ve|ll)")
+KEPT_PIECES, KEPT_BYTES = 200_000, 1 << 24  # of texts encoded together, per Python worker
+TOGETHER = 1 << 23  # characters of plain texts whose pieces are looked at together; a longer text is encoded alone
 
 
 class Encoder:
@@ -74,6 +81,10 @@ class Encoder:
             plain = {k.replace(MARK, mark): v for k, v in ranks.items() if mark not in k}
             pattern = f"[^{PLAIN_MARK}]+{PLAIN_MARK}"
             self.marked = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=plain, special_tokens={})
+            # Pieces that texts encoded together held, and their ids.
+            self.kept, self.kept_ids = pa.array([mark], pa.binary()), pa.array([b""], pa.binary())
+            self.ends = np.zeros(max(plain.values()) + 1, bool)  # ids that end a piece
+            self.ends[[rank for token, rank in plain.items() if token.endswith(mark)]] = True
         self.heads, self.tails = _Cache(self._chunk), _Cache(lambda c: self._chunk(" " + c))
         self.pieces = _Cache(self._piece)
         self.hint = os.path.commonprefix(special)  # "" is in every chunk
@@ -94,6 +105,57 @@ class Encoder:
         parts = text.split(" ")
         return self.heads[parts[0]] + b"".join(map(self.tails.__getitem__, parts[1:]))
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text. Plain texts are cut together, and a piece that they share is encoded once."""
+        out, together, size = [b""] * len(texts), [], 0
+        for i, text in enumerate(texts):
+            special = self.hint in text and self.special.search(text)
+            if special or not self.whole or len(text) > TOGETHER or not PLAIN_TEXT.fullmatch(text):
+                out[i] = self(text)
+                continue
+            if size + len(text) > TOGETHER:
+                self._fill(out, together, texts)
+                together, size = [], 0
+            together.append(i)
+            size += len(text)
+        self._fill(out, together, texts)
+        return out
+
+    def _fill(self, out: list[bytes], places: list[int], texts: list[str]) -> None:
+        """The ids of the plain texts at these places."""
+        if not places:
+            return
+        # A mark before every text: it is the first of the distinct pieces, and tells where a text begins.
+        chars, stops = _pieces(PLAIN_MARK + PLAIN_MARK.join([texts[i] for i in places]))
+        pieces = _binary(stops, chars).dictionary_encode()
+        at = pc.index_in(pieces.dictionary, value_set=self.kept)
+        new = at.is_null()
+        fresh = pieces.dictionary.filter(new)
+        values = pa.concat_arrays([self.kept_ids, self._spelled(fresh)])
+        at = at.fill_null(0).to_numpy().copy()
+        at[new.to_numpy(zero_copy_only=False)] = np.arange(len(self.kept), len(values))
+        spelled = values.take(pa.array(at.take(pieces.indices.to_numpy())))
+        if len(self.kept) < KEPT_PIECES and values.nbytes < KEPT_BYTES:
+            self.kept = pa.concat_arrays([self.kept, fresh.slice(0, KEPT_PIECES - len(self.kept))])
+            self.kept_ids = values.slice(0, len(self.kept))
+        stops = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1)
+        begins = stops[:-1][pieces.indices.to_numpy() == 0].tolist()
+        data = memoryview(spelled.buffers()[2]) if stops[-1] else b""
+        for i, begin, end in zip(places, begins, [*begins[1:], int(stops[-1])], strict=True):
+            out[i] = bytes(data[begin:end])
+
+    def _spelled(self, pieces: pa.BinaryArray) -> pa.BinaryArray:
+        """The ids of every piece."""
+        if not len(pieces):
+            return pa.array([], pa.binary())
+        stops = np.frombuffer(pieces.buffers()[1], np.int32)[1 : len(pieces) + 1]
+        marked = _marked(np.frombuffer(pieces.buffers()[2], np.uint8)[: stops[-1]], stops)
+        ids = self.marked.encode_to_numpy(marked)
+        stops = np.flatnonzero(self.ends.take(ids)) + 1
+        if len(stops) != len(pieces):
+            raise ValueError("a piece has no id at its end")
+        return _binary(4 * stops, ids.astype("<u4"))
+
     def _with_runs(self, text: str) -> bytes:
         """A text in which spaces stand beside other white space: only safe spaces cut it."""
         out, at = [], 0
@@ -126,22 +188,37 @@ class Encoder:
 
 def marked_pieces(text: str) -> str:
     """The pieces of ``WORD_PATTERN`` in a lower-case plain text, each with ``PLAIN_MARK`` behind it."""
-    chars = np.frombuffer(text.encode("latin-1"), np.uint8)
-    kinds = KINDS[chars]
+    chars, stops = _pieces(text)
+    return _marked(chars, stops)
+
+
+def _pieces(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of the pieces of a plain text, in lower case, and where each piece ends among them."""
+    chars = text.encode("latin-1").translate(LOWER)
+    kinds = np.frombuffer(chars.translate(KINDS.tobytes()), np.uint8)
     ends = kinds == 2
     ends[:-1] |= kinds[1:] != kinds[:-1]
     ends[-1:] = True
     if "'" in text:
-        for found in CONTRACTION.finditer(text):
+        for found in CONTRACTION.finditer(chars.decode("latin-1")):
             ends[found.start() : found.end() - 1] = False
             ends[found.end() - 1] = True
-    seen = kinds > 0
-    chars, ends = chars[seen], ends[seen]
-    out = np.zeros(len(chars) + np.count_nonzero(ends), np.uint8)
-    out[np.arange(len(chars)) + np.cumsum(ends) - ends] = chars
+    return np.frombuffer(chars.translate(None, SPACES), np.uint8), np.flatnonzero(ends[kinds > 0]) + 1
+
+
+def _marked(chars: np.ndarray, stops: np.ndarray) -> str:
+    """The characters with ``PLAIN_MARK`` behind each piece."""
+    out = np.zeros(len(chars) + len(stops), np.uint8)
+    out[np.arange(len(chars)) + np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))] = chars
     return out.tobytes().decode("latin-1")
 
 
+def _binary(stops: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
+    """Strings of bytes that lie end to end."""
+    offsets = np.append(0, stops).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _bytes(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":
