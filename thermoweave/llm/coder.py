@@ -26,7 +26,8 @@ BOTTOM = np.uint64(1 << 32)
 LOWER_WORD = np.uint64(0xFFFFFFFF)
 HASH_1, HASH_2 = np.uint32(2654435761), np.uint32(0x85EBCA6B)
 TRUST_1, TRUST_2 = np.uint32(1911), np.uint32(1911 << 16)  # at most 1911 * 32 + 63 of 65,536 together
-WHOLE, ONE = np.uint32(1 << EVENT_BITS), np.uint8(1)
+WHOLE = np.uint32(1 << EVENT_BITS)
+ONE, NO_CLASS = np.uint8(1), np.uint8(255)  # their sum is 0 in 8 bits
 FREQ_BITS = 11
 FREQ_MASK, FREQ_SHIFT = np.uint32((1 << FREQ_BITS) - 1), np.uint32(FREQ_BITS)
 # (first id, bits of a class) of the ranges of ids; low ids are the frequent ones.
@@ -110,14 +111,18 @@ class Model:
         at += self.lane[: len(at)]
         return at
 
-    def learn(self, n: int, ids: np.ndarray, hit_2: np.ndarray, hit_1: np.ndarray, right_1: np.ndarray, classes: np.ndarray) -> None:
-        """Take in the ids that came. right_1: the order-1 prediction came, hit_1: as the event; classes: 1 + those used, or 0."""
+    def learn(self, n: int, ids: np.ndarray, hits: np.ndarray, by_2: np.ndarray, classes: np.ndarray) -> None:
+        """Take in the ids that came. hits: blocks whose event was a prediction, by_2: of order 2; classes: 1 + those used, or 0."""
         fresh = ids << 2 | 1
-        self.table_2[self.at_2] = fresh + hit_2 * np.minimum(self.c2, 2)
-        self.table_1[self.at_1] = fresh + right_1 * np.minimum(self.c1, 2)
+        new, by_1 = fresh.copy(), self.p1.take(hits) == ids.take(hits)
+        new[hits] += by_2 * np.minimum(self.c2.take(hits), 2)
+        fresh[hits] += by_1 * np.minimum(self.c1.take(hits), 2)
+        self.table_2[self.at_2] = new
+        self.table_1[self.at_1] = fresh
         # Both shares lose a 32nd.
         kept = self.shares - ((self.shares >> 5) & 0x07FF07FF)
-        self.trust[self.at_t] = kept + (hit_2 * TRUST_2 + hit_1 * TRUST_1)
+        kept[hits] += np.where(by_2, TRUST_2, TRUST_1)
+        self.trust[self.at_t] = kept
         self.recent[self.came, :n] = classes
         self.came += 1
         mixed = ids * HASH_1
@@ -168,27 +173,29 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
             model.refresh()
         ids = grid[step, :n]
         model.predict(n)
-        hit_2, right_1 = model.p2 == ids, model.p1 == ids
-        hit_1, miss = right_1 & ~hit_2, ~(hit_2 | right_1)
-        lo, sp = low[:n], span[:n]
-        r = sp >> event
-        begin, width = r * (hit_1 * model.a), r * np.where(hit_2, model.a, model.ab - model.a)
+        hit_2 = model.p2 == ids
+        hits = np.flatnonzero(hit_2 | (model.p1 == ids))
+        by_2 = hit_2.take(hits)
+        lo, r = low[:n], span[:n] >> event
         c = CLASS_OF.take(ids)
         place = c.astype(np.intp)
         bounds = model.bounds.take(model.at(place))
-        unit = r * (WHOLE - model.ab) >> class_bits
-        r *= model.ab
-        r += unit * (bounds >> FREQ_SHIFT)
-        unit *= bounds & FREQ_MASK
-        unit >>= CLASS_SIZE_BITS.take(place)
-        r += unit * (ids & PLACE_MASK.take(place))
-        lo += np.where(miss, r, begin)
-        sp[:] = np.where(miss, unit, width)
-        out, x = _settled(lo, sp)
+        span = r * (WHOLE - model.ab) >> class_bits
+        begin = r * model.ab
+        begin += span * (bounds >> FREQ_SHIFT)
+        span *= bounds & FREQ_MASK
+        span >>= CLASS_SIZE_BITS.take(place)
+        begin += span * (ids & PLACE_MASK.take(place))
+        r, a = r.take(hits), model.a.take(hits)
+        begin[hits] = r * np.where(by_2, 0, a)
+        span[hits] = r * np.where(by_2, a, model.ab.take(hits) - a)
+        c[hits] = NO_CLASS
+        lo += begin
+        out, x = _settled(lo, span)
         to = free.take(out)
         words[to] = (x >> WORD).astype(np.uint32)
         free[out] = to + lanes
-        model.learn(n, ids, hit_2, hit_1, right_1, (c + ONE) * miss)
+        model.learn(n, ids, hits, by_2, c + ONE)
     words[free], words[free + lanes] = low >> WORD, low & LOWER_WORD
     used = free // lanes + 2
     rows = words.reshape(-1, lanes)[: used.max()].T.astype("<u4", order="C")
@@ -229,36 +236,37 @@ def _decode(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         if step and step % REFRESH == 0:
             model.refresh()
         model.predict(n)
-        lo, sp, x = low[:n], span[:n], code[:n]
-        r = sp >> event
-        to_a, to_ab = r * model.a, r * model.ab
-        hit_2, miss = x < to_a, x >= to_ab
-        hit_1 = ~(hit_2 | miss)
-        begin, width = hit_1 * to_a, np.where(hit_2, to_a, to_ab - to_a)
-        unit = (r << event) - to_ab >> class_bits  # from here to the place counts for misses alone
-        rest = x - to_ab
-        c = model.point.take(model.lane_point[:n] + np.minimum(rest // unit, last_point).view(np.int64))
+        lo, x, r = low[:n], code[:n], span[:n] >> event
+        to_ab = r * model.ab
+        hits = np.flatnonzero(x < to_ab)
+        span = (r << event) - to_ab >> class_bits
+        rest = x - to_ab  # from here to the place counts for misses alone
+        c = model.point.take(model.lane_point[:n] + np.minimum(rest // span, last_point).view(np.int64))
         place = c.astype(np.intp)
         bounds, first_id, mask = model.bounds.take(model.at(place)), CLASS_FIRST.take(place), PLACE_MASK.take(place)
-        below = unit * (bounds >> FREQ_SHIFT)
-        unit *= bounds & FREQ_MASK
-        unit >>= CLASS_SIZE_BITS.take(place)
-        rest -= below
-        rest //= unit
+        begin = span * (bounds >> FREQ_SHIFT)
+        span *= bounds & FREQ_MASK
+        span >>= CLASS_SIZE_BITS.take(place)
+        rest -= begin
+        rest //= span
         place = np.minimum(rest, mask, out=rest)
-        below += to_ab
-        below += unit * place
-        begin = np.where(miss, below, begin)
+        begin += to_ab
+        begin += span * place
+        ids = first_id + place.astype(np.uint32)
+        to_a = r.take(hits) * model.a.take(hits)
+        by_2 = x.take(hits) < to_a
+        begin[hits] = np.where(by_2, 0, to_a)
+        span[hits] = np.where(by_2, to_a, to_ab.take(hits) - to_a)
+        ids[hits] = np.where(by_2, model.p2.take(hits), model.p1.take(hits))
+        c[hits] = NO_CLASS
         lo += begin
         x -= begin
-        sp[:] = np.where(miss, unit, width)
-        ids = np.where(miss, first_id + place.astype(np.uint32), np.where(hit_2, model.p2, model.p1))
-        out, _ = _settled(lo, sp)
+        out, _ = _settled(lo, span)
         at = free.take(out)
         x[out] = x.take(out) << WORD | words.take(at, mode="clip").astype(np.uint64)
         free[out] = at + lanes
         grid[step, :n] = ids
-        model.learn(n, ids, hit_2, hit_1, model.p1 == ids, (c + ONE) * miss)
+        model.learn(n, ids, hits, by_2, c + ONE)
     out_ids: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
     for lane, i in enumerate(order):
         out_ids[i] = grid[: lengths[i], lane].copy()
